@@ -80,7 +80,7 @@ def values_at_ranks(
         .join(asked, holds_rank, "left_semi")
     )
     is_open = (F.col("_lo") < F.col("_hi")) & (F.col("_n") > task_rows)
-    logarithmic = True
+    logarithmic = False  # by turns, so that a few extreme values cannot hold up the narrowing
     while True:
         n_ranges, n_open = ranges.agg(F.count("*"), F.count_if(is_open)).first()
         if not n_open:
