@@ -55,30 +55,39 @@ def _inside(rows: DataFrame, keys: list[str], value: str, ranges: DataFrame, n_r
     return rows.join(side, hit).drop(*["_r_" + k for k in keys])
 
 
+def group_spans(rows: DataFrame, keys: list[str], value: str, copies: Column | None = None) -> DataFrame:
+    """Number of rows with a value, lowest and highest value per group; ``_copies`` as often a row counts."""
+    present = F.col(value).isNotNull()
+    return rows.groupBy(*keys).agg(
+        F.count(value).alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"),
+        (F.lit(1) if copies is None else F.max(F.when(present, copies))).cast("long").alias("_copies"),
+    )
+
+
 def values_at_ranks(
-    rows: DataFrame, keys: list[str], value: str, ranks: DataFrame, task_rows: int = TASK_ROWS
+    rows: DataFrame,
+    keys: list[str],
+    value: str,
+    ranks: DataFrame,
+    spans: DataFrame,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """The value at each wanted 0-based rank of each group.
 
-    ``rows`` holds the keys and a non-null number, ``ranks`` the keys and ``rank``. The result has the
-    keys, ``rank``, ``value`` and ``below``, the number of rows that are strictly smaller. ``rows`` is
-    read once per pass, so it should come from storage.
+    ``rows`` holds the keys and a number, ``ranks`` the keys and ``rank``, ``spans`` the stored
+    :func:`group_spans` of the wanted groups. The result has the keys, ``rank``, ``value`` and ``below``,
+    the number of rows that are strictly smaller. ``rows`` is read once per pass, so it should come from
+    storage.
     """
     rows = rows.select(*keys, value)
-    ranks = checkpoint(ranks.select(*keys, F.col("rank").cast("long")).distinct())
     by_group = Window.partitionBy(*keys, "_lo")
-    asked = _renamed(ranks, keys, "_q_", ["rank"])
+    asked = _renamed(ranks.select(*keys, "rank").distinct(), keys, "_q_", ["rank"])
     holds_rank = (
         _same_keys(keys, "_q_")
         & (F.col("rank") >= F.col("_below"))
         & (F.col("rank") < F.col("_below") + F.col("_n"))
     )
-    ranges = checkpoint(
-        rows.groupBy(*keys)
-        .agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count("*").alias("_n"))
-        .withColumn("_below", F.lit(0).cast("long"))
-        .join(asked, holds_rank, "left_semi")
-    )
+    ranges = spans.select(*keys, "_lo", "_hi", "_n", F.lit(0).cast("long").alias("_below"))
     is_open = (F.col("_lo") < F.col("_hi")) & (F.col("_n") > task_rows)
     logarithmic = False  # by turns, so that a few extreme values cannot hold up the narrowing
     while True:
@@ -120,14 +129,12 @@ def values_at_ranks(
 
 
 def _interpolated(
-    rows: DataFrame, keys: list[str], value: str, probabilities: list[float], weight: str | None, task_rows: int
+    rows: DataFrame, keys: list[str], value: str, probabilities: list[float], spans: DataFrame, task_rows: int
 ) -> DataFrame:
     """Keys and ``quantiles`` of large groups, from the two neighbouring ranks of each probability."""
-    copies = F.max(weight).cast("long") if weight else F.lit(1).cast("long")
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_size"), copies.alias("_copies"))
     wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)])
-    position = F.col("w.p") * (F.col("_size") * F.col("_copies") - 1)
-    spots = sizes.withColumn("w", F.explode(wanted)).select(
+    position = F.col("w.p") * (F.col("_n") * F.col("_copies") - 1)
+    spots = spans.withColumn("w", F.explode(wanted)).select(
         *keys, "_copies", F.col("w.i").alias("_i"), position.alias("_at"),
         F.floor(position).alias("_down"), F.ceil(position).alias("_up"),
     )
@@ -141,8 +148,7 @@ def _interpolated(
         *keys, "_i", F.col("_s.share").alias("_share"),
         F.floor(F.col("_s.at") / F.col("_copies")).cast("long").alias("rank"),
     )
-    spots = checkpoint(spots)
-    found = values_at_ranks(rows, keys, value, spots, task_rows)
+    found = values_at_ranks(rows, keys, value, spots, spans, task_rows)
     found = _renamed(found, keys, "_f_", [F.col("rank").alias("_rank"), "value"])
     matched = spots.join(found, _same_keys(keys, "_f_") & (F.col("rank") == F.col("_rank")))
     part = F.col("_share") * F.col("value")
@@ -163,23 +169,22 @@ def aggregate_with_quantiles(
     """Group by ``keys``: the given aggregates and ``quantiles``, exact and linearly interpolated.
 
     ``weight`` names an integer column, equal within a group, that says how often each row counts. Rows
-    without a value do not count for the quantiles. The groups above ``task_rows`` are found by one count
-    that is combined before its shuffle; without any, all is one aggregation.
+    without a value do not count for the quantiles. The groups above ``task_rows`` are found by one scan
+    whose counts are combined before the shuffle; without any, all is one aggregation.
     """
     aggregates = list(aggregates or [])
-    present = F.col(value).isNotNull()
-    sizes = df.where(present).groupBy(*keys).agg(F.count("*").alias("_n"))
-    hot = sizes.where(F.col("_n") > task_rows).select(*keys)
+    copies = F.col(weight) if weight else None
+    hot = checkpoint(group_spans(df, keys, value, copies).where(F.col("_n") > task_rows))
     n_hot = hot.count()
-    builtin = F.percentile(value, probabilities, F.col(weight) if weight else F.lit(1)).alias("quantiles")
+    builtin = F.percentile(value, probabilities, F.lit(1) if copies is None else copies).alias("quantiles")
     if n_hot == 0:
         return df.groupBy(*keys).agg(*aggregates, builtin)
 
-    listed = small_side(_renamed(checkpoint(hot), keys, "_h_", []), n_hot)
+    listed = small_side(_renamed(hot, keys, "_h_", []), n_hot)
     on_hot = _same_keys(keys, "_h_")
     light = df.join(listed, on_hot, "left_anti").groupBy(*keys).agg(*aggregates, builtin)
     heavy = df.join(listed, on_hot, "left_semi")
-    quantiles = _interpolated(heavy.where(present), keys, value, probabilities, weight, task_rows)
+    quantiles = _interpolated(df, keys, value, probabilities, hot, task_rows)
     if aggregates:
         others = _renamed(quantiles, keys, "_h_", ["quantiles"])
         quantiles = heavy.groupBy(*keys).agg(*aggregates).join(others, on_hot).drop(*["_h_" + k for k in keys])
@@ -191,18 +196,22 @@ def column_quantiles(
 ) -> dict[str, list[float] | None]:
     """Exact quantiles of whole columns; None for a column without values.
 
-    The result is one short list per column. Columns of up to ``task_rows`` rows take one aggregation;
+    The result is one short list per column. Columns of up to ``task_rows`` values take one aggregation;
     longer ones are narrowed together, one scan per pass for all columns.
     """
     if not columns:
         return {}
-    if df.count() <= task_rows:
-        row = df.agg(
-            *[F.percentile(F.col(c).cast("double"), probabilities).alias(f"q{i}") for i, c in enumerate(columns)]
-        ).first()
-        return {c: row[i] for i, c in enumerate(columns)}
+    numbers = [F.col(c).cast("double") for c in columns]
+    ends = df.agg(*[F.struct(F.count(x), F.min(x), F.max(x)) for x in numbers]).first()
+    if max(n for n, low, high in ends) <= task_rows:
+        row = df.agg(*[F.percentile(x, probabilities) for x in numbers]).first()
+        return dict(zip(columns, row))
+    spans = df.sparkSession.createDataFrame(
+        [(c, n, low, high, 1) for c, (n, low, high) in zip(columns, ends) if n],
+        "column string, _n long, _lo double, _hi double, _copies long",
+    )
     pairs = unpivot(df, columns, "double")
-    rows = _interpolated(pairs, ["column"], "value", probabilities, None, task_rows).collect()
+    rows = _interpolated(pairs, ["column"], "value", probabilities, spans, task_rows).collect()
     found = {row["column"]: list(row["quantiles"]) for row in rows}
     return {c: found.get(c) for c in columns}
 

@@ -22,12 +22,11 @@ def left_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int = 10 *
     """
     if left.isStreaming:
         return left.join(right, key, "left")
-    hot = left.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select(key)
+    hot = checkpoint(left.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select(key))
     n_hot, n_null = hot.agg(F.count("*"), F.count_if(F.col(key).isNull())).first()
     if n_hot == 0:
         return left.join(right, key, "left")
 
-    hot = checkpoint(hot)
     keys = hot.where(F.col(key).isNotNull())
     listed = small_side(keys, n_hot)
     rest = left.join(listed, key, "left_anti")

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.ranks import values_at_ranks
+from ledgerloom.operators.ranks import group_spans, values_at_ranks
 from ledgerloom.session import TASK_ROWS, checkpoint
 
 
@@ -49,7 +49,9 @@ def stratified_split(
     """
     keys = [key] if isinstance(key, str) else list(key)
     name = F.struct(*keys)
-    counts = checkpoint(df.groupBy(label).agg(F.count("*").alias("n")))
+    ordered = df.withColumn("_order", split_order(keys, seed))
+    spans = checkpoint(group_spans(ordered, [label], "_order"))
+    counts = spans.select(label, F.col("_n").alias("n"))
     n, n_classes, smallest, n_null = counts.agg(
         F.sum("n"), F.count("*"), F.min("n"), F.count_if(F.col(label).isNull())
     ).first()
@@ -63,12 +65,9 @@ def stratified_split(
     if n_test < n_classes or n - n_test < n_classes:
         raise ValueError(f"{n_test} test and {n - n_test} train rows cannot hold all {n_classes} classes")
 
-    quotas = checkpoint(class_quotas(counts, label, n, test_size))
-    ordered = df.withColumn("_order", split_order(keys, seed))
-    borders = values_at_ranks(
-        ordered, [label], "_order",
-        quotas.where("quota > 0").select(label, (F.col("quota") - 1).alias("rank")), task_rows,
-    )
+    quotas = class_quotas(counts, label, n, test_size)
+    ranks = quotas.where("quota > 0").select(label, (F.col("quota") - 1).alias("rank"))
+    borders = values_at_ranks(ordered, [label], "_order", ranks, spans, task_rows)
     limits = borders.join(quotas, label).select(
         label, F.col("value").alias("_border"), (F.col("quota") - F.col("below")).alias("_seats")
     )

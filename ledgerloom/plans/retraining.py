@@ -61,6 +61,7 @@ def run_retraining(
     training, report = write_tables(*sources, root, run)
     labelled = training.drop("is_outlier").join(labels, "customer_id")
     fitted, prepared = fit_features(labelled, features)
+    prepared = write_run_table(prepared, f"{root}/prepared_data", run.run_date)
     train_rows, test_rows = split_data(prepared, list(features.key_columns) or ["customer_id"], features)
     classifier = train(train_rows, fitted.feature_columns(), features.target_column, model)
     metrics = evaluate(classifier, test_rows, features.target_column)
