@@ -111,7 +111,7 @@ def customer_metrics_from_sources(
         date_sanitise("transaction_date", params.date_floor, params.as_of).alias("transaction_date"),
     ).where(F.col("customer_id").isNotNull() & F.col("amount").isNotNull())
     repeats = F.coalesce("_campaign_rows", F.lit(1)) * F.coalesce("_profile_rows", F.lit(1))
-    weighted = left_join(rows, customers, "customer_id").select(
+    weighted = left_join(rows, customers, "customer_id", unique_right=True).select(
         "customer_id", "amount", "transaction_date",
         segment_default("customer_segment").alias("customer_segment"),
         (F.lit(1).cast("long") if params.dedupe_fanout else repeats).alias("_copies"),

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.cleaning import text_or_none
 from ledgerloom.functions.schema import unpivot
 from ledgerloom.operators.ranks import index_sorted
-from ledgerloom.operators.skew import left_join, small_side
-from ledgerloom.session import BROADCAST_ROWS
+from ledgerloom.operators.skew import left_join, row_bytes
+from ledgerloom.session import BROADCAST_BYTES
 
 UNSEEN = -1
 
@@ -21,8 +21,9 @@ def column_classes(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def class_sizes(classes: DataFrame) -> dict[str, int]:
-    """Number of classes per encoded column."""
-    return {row["column"]: row["n"] for row in classes.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    """Measured bytes of the class list of each encoded column."""
+    sizes = classes.groupBy("column").agg(F.sum(row_bytes(classes)).alias("size"))
+    return {row["column"]: row["size"] for row in sizes.collect()}
 
 
 def label_encode_fit(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -37,17 +38,17 @@ def label_encode_apply(df: DataFrame, classes: DataFrame, sizes: dict[str, int]
     """
     sizes = class_sizes(classes) if sizes is None else sizes
     order = df.columns
-    for column, n in sizes.items():
+    for column, size in sizes.items():
         if column not in order:
             continue
         known = classes.where(F.col("column") == column).select(
             F.col("value").alias("_text"), F.col("index").alias("_index")
         )
         keyed = df.withColumn("_text", text_or_none(column))
-        if n <= BROADCAST_ROWS:
-            joined = keyed.join(small_side(known, n), "_text", "left")
+        if size <= BROADCAST_BYTES:
+            joined = keyed.join(F.broadcast(known), "_text", "left")
         else:
-            joined = left_join(keyed, known, "_text")
+            joined = left_join(keyed, known, "_text", unique_right=True)
         df = joined.withColumn(column, F.coalesce("_index", F.lit(UNSEEN)).cast("long")).drop("_text", "_index")
     return df.select(*order)
 

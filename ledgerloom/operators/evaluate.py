@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.ranks import running_totals
+from ledgerloom.session import checkpoint
 
 
 def join_pred_truth(truth: DataFrame, predicted: DataFrame, key: str) -> DataFrame:
@@ -43,13 +44,13 @@ def _ratio(part, whole):
     return F.coalesce(part / F.nullif(whole, F.lit(0)), F.lit(0.0))
 
 
-def class_scores(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Precision, recall, F1 and support of every class that occurs as label or prediction.
+def class_scores(counts: DataFrame) -> DataFrame:
+    """Precision, recall, F1 and support of every class in the :func:`confusion_counts`.
 
-    An undefined ratio is 0.
+    A class may occur as label or prediction only; an undefined ratio is 0.
     """
     n = F.col("n")
-    sides = confusion_counts(df, label, prediction).select(
+    sides = counts.select(
         F.explode(
             F.array(
                 F.struct(
@@ -79,7 +80,11 @@ def _weighted(column: str):
 
 def weighted_prf(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """One row: precision, recall and F1, averaged over the classes by their support."""
-    return class_scores(df, label, prediction).agg(
+    return weighted_scores(confusion_counts(df, label, prediction))
+
+
+def weighted_scores(counts: DataFrame) -> DataFrame:
+    return class_scores(counts).agg(
         _weighted("precision").alias("precision"),
         _weighted("recall").alias("recall"),
         _weighted("f1").alias("f1_score"),
@@ -88,7 +93,8 @@ def weighted_prf(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 def classification_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """One row per class, then accuracy, macro and weighted means under ``class``."""
-    scores = class_scores(df, label, prediction)
+    counts = checkpoint(confusion_counts(df, label, prediction))
+    scores = class_scores(counts)
     total = F.sum("support").alias("support")
     macro = scores.agg(
         F.lit("macro avg").alias("class"),
@@ -98,10 +104,11 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
         F.lit("weighted avg").alias("class"),
         *[_weighted(c).alias(c) for c in ("precision", "recall", "f1")], total,
     )
-    share = accuracy(df, label, prediction).select(
+    hits = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0))
+    share = counts.agg(
         F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
-        F.lit(None).cast("double").alias("recall"), F.col("accuracy").alias("f1"),
-    ).crossJoin(F.broadcast(scores.agg(total)))
+        F.lit(None).cast("double").alias("recall"), (hits / F.sum("n")).alias("f1"), F.sum("n").alias("support"),
+    )
     per_class = scores.withColumn("class", F.col("class").cast("string"))
     return per_class.unionByName(share).unionByName(macro).unionByName(weighted)
 

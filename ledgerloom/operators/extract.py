@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.skew import left_join
+from ledgerloom.operators.skew import hot_keys, left_join
 from ledgerloom.params import RunParams
 
 RAW_COLUMNS = [
@@ -42,17 +42,12 @@ def extract_raw(
 ) -> DataFrame:
     """The raw rows of one run day.
 
-    Campaigns and profiles meet each other first (both are far smaller than the transactions and keep
-    every customer of either side), so the transactions are joined, and shuffled, once.
+    Both joins are on the customer, so the transactions are shuffled once for them. Their hot customers
+    are found once, on the key column of the window.
     """
     window = lookback_filter(transactions, params.run_date, params.lookback_days, until=params.until)
-    customers = (
-        campaigns.select("customer_id", "campaign_id", "channel")
-        .where(F.col("customer_id").isNotNull())
-        .join(
-            profiles.select("customer_id", "customer_segment").where(F.col("customer_id").isNotNull()),
-            "customer_id",
-            "full_outer",
-        )
-    )
-    return project_training_cols(left_join(window, customers, "customer_id"))
+    hot = hot_keys(window, "customer_id")
+    segments = profiles.select("customer_id", "customer_segment")
+    contacts = campaigns.select("customer_id", "campaign_id", "channel")
+    joined = left_join(window, segments, "customer_id", hot_left=hot)
+    return project_training_cols(left_join(joined, contacts, "customer_id", hot_left=hot))

@@ -47,7 +47,7 @@ def customer_stats(df: DataFrame) -> DataFrame:
 
 def join_customer_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
     """The customer's aggregates on every row; NULL for a row without customer."""
-    return left_join(df, stats, "customer_id")
+    return left_join(df, stats, "customer_id", unique_right=True)
 
 
 def customer_features(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:

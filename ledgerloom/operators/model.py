@@ -16,9 +16,12 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.evaluate import accuracy, auc_binary, auc_ovr_weighted, class_count, weighted_prf
 from ledgerloom.functions.schema import numeric_columns
+from ledgerloom.operators.evaluate import (
+    accuracy, auc_binary, auc_ovr_weighted, class_count, confusion_counts, weighted_scores,
+)
 from ledgerloom.params import ModelParams
+from ledgerloom.session import checkpoint
 
 if TYPE_CHECKING:
     from ledgerloom.plans.features import FeatureModel
@@ -135,7 +138,8 @@ def evaluate(classifier: Classifier, df: DataFrame, label: str) -> dict[str, flo
     """Accuracy, weighted precision, recall and F1, and AUC (one against the rest beyond two classes)."""
     scored = classifier.score(df).select(label, "prediction", "probability").persist()
     try:
-        n_classes = class_count(scored, label).first()[0]
+        counts = checkpoint(confusion_counts(scored, label, "prediction"))
+        n_classes = class_count(counts, "label").first()[0]
         if n_classes == 2:
             if len(classifier.classes) < 2:
                 raise ValueError("the model knows one class only")
@@ -148,10 +152,9 @@ def evaluate(classifier: Classifier, df: DataFrame, label: str) -> dict[str, flo
                 label, *[F.get("probability", F.lit(i)).alias(f"_p{i}") for i in range(n_classes)]
             )
             area = auc_ovr_weighted(spread, label, {v: f"_p{i}" for i, v in enumerate(classifier.classes)})
-        measured = accuracy(scored, label, "prediction").crossJoin(
-            F.broadcast(weighted_prf(scored, label, "prediction"))
-        ).crossJoin(F.broadcast(area))
-        metrics = measured.first().asDict()
+        hits = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0))
+        share = counts.agg((hits / F.sum("n")).alias("accuracy"))
+        metrics = {**share.first().asDict(), **weighted_scores(counts).first().asDict(), **area.first().asDict()}
     finally:
         scored.unpersist()
     classifier.metrics = metrics

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from ledgerloom.functions.schema import unpivot
-from ledgerloom.operators.skew import small_side
+from ledgerloom.operators.skew import row_bytes, small_side, total_bytes
 from ledgerloom.session import TASK_ROWS, checkpoint
 
 CELLS = 1024
@@ -48,9 +48,9 @@ def _cell(value: Column, low: Column, high: Column, logarithmic: bool) -> Column
     )
 
 
-def _inside(rows: DataFrame, keys: list[str], value: str, ranges: DataFrame, n_ranges: int) -> DataFrame:
+def _inside(rows: DataFrame, keys: list[str], value: str, ranges: DataFrame, measured: int) -> DataFrame:
     """Rows that fall into an open range of their group. Ranges are disjoint: a row matches one at most."""
-    side = small_side(_renamed(ranges, keys, "_r_", ["_lo", "_hi", "_below"]), n_ranges)
+    side = small_side(_renamed(ranges, keys, "_r_", ["_lo", "_hi", "_below"]), measured)
     hit = _same_keys(keys, "_r_") & F.col(value).between(F.col("_lo"), F.col("_hi"))
     return rows.join(side, hit).drop(*["_r_" + k for k in keys])
 
@@ -91,11 +91,11 @@ def values_at_ranks(
     is_open = (F.col("_lo") < F.col("_hi")) & (F.col("_n") > task_rows)
     logarithmic = False  # by turns, so that a few extreme values cannot hold up the narrowing
     while True:
-        n_ranges, n_open = ranges.agg(F.count("*"), F.count_if(is_open)).first()
+        n_open, measured = ranges.agg(F.count_if(is_open), F.sum(row_bytes(ranges))).first()
         if not n_open:
             break
         cells = (
-            _inside(rows, keys, value, ranges.where(is_open), n_open)
+            _inside(rows, keys, value, ranges.where(is_open), measured)
             .withColumn("_cell", _cell(F.col(value), F.col("_lo"), F.col("_hi"), logarithmic))
             .groupBy(*keys, "_lo", "_below", "_cell")
             .agg(F.min(value).alias("_min"), F.max(value).alias("_max"), F.count("*").alias("_n"))
@@ -113,7 +113,7 @@ def values_at_ranks(
         *keys, F.col("_lo").alias("value"), "_n", "_below"
     )
     counted = (
-        _inside(rows, keys, value, ranges.where(F.col("_lo") < F.col("_hi")), n_ranges)
+        _inside(rows, keys, value, ranges.where(F.col("_lo") < F.col("_hi")), measured or 0)
         .groupBy(*keys, "_lo", "_below", value)
         .agg(F.count("*").alias("_n"))
     )
@@ -175,12 +175,11 @@ def aggregate_with_quantiles(
     aggregates = list(aggregates or [])
     copies = F.col(weight) if weight else None
     hot = checkpoint(group_spans(df, keys, value, copies).where(F.col("_n") > task_rows))
-    n_hot = hot.count()
     builtin = F.percentile(value, probabilities, F.lit(1) if copies is None else copies).alias("quantiles")
-    if n_hot == 0:
+    if hot.isEmpty():
         return df.groupBy(*keys).agg(*aggregates, builtin)
 
-    listed = small_side(_renamed(hot, keys, "_h_", []), n_hot)
+    listed = small_side(_renamed(hot, keys, "_h_", []), total_bytes(hot))
     on_hot = _same_keys(keys, "_h_")
     light = df.join(listed, on_hot, "left_anti").groupBy(*keys).agg(*aggregates, builtin)
     heavy = df.join(listed, on_hot, "left_semi")

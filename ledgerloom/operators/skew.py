@@ -1,46 +1,109 @@
-"""Left join that keeps a hot key out of any single task."""
+"""Left join that keeps a hot key, of either side, out of any single task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, NumericType, StringType
 
-from ledgerloom.session import BROADCAST_ROWS, TASK_ROWS, checkpoint
+from ledgerloom.session import BROADCAST_BYTES, TASK_ROWS, checkpoint
 
+HOT_ROWS = 10 * TASK_ROWS
+SALTS = 32
 
-def small_side(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast hint for a side that was counted and found small; no hint otherwise."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
+def row_bytes(df: DataFrame) -> Column:
+    """About the size of a row: text by its length, 16 for anything of fixed width, 32 for the row."""
+    size = F.lit(32)
+    for field in df.schema:
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+        else:
+            size = size + (16 if isinstance(field.dataType, NumericType) else 64)
+    return size
 
-def left_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int = 10 * TASK_ROWS) -> DataFrame:
-    """``left.join(right, key, "left")`` with the hot keys of ``left`` joined apart.
 
-    One count per key, combined before its shuffle, finds the keys with more than ``hot_rows`` rows.
-    Rows with such a key meet only the few right rows of those keys, by broadcast, and never shuffle;
-    a hot NULL key matches nothing and skips the join. Everything else joins as usual.
+def total_bytes(df: DataFrame) -> int:
+    """Measured size of a side that may be broadcast; one aggregation."""
+    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
+
+
+def small_side(df: DataFrame, measured: int) -> DataFrame:
+    """Broadcast hint for a side that was measured and found small; no hint otherwise."""
+    return F.broadcast(df) if measured <= BROADCAST_BYTES else df
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys with more than ``hot_rows`` rows, NULL included. Counts are combined before the shuffle."""
+    counts = df.groupBy(key).agg(F.count("*").alias("_n"))
+    return checkpoint(counts.where(F.col("_n") > hot_rows).select(key))
+
+
+def _salted_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join of two sides that are both large for the same keys: a grid of ``SALTS`` x ``SALTS`` parts."""
+    grid = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+
+    def place(df: DataFrame) -> Column:
+        return F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
+
+    rows = left.withColumn("_row", place(left)).withColumn("_col", grid)
+    cols = right.withColumn("_col", place(right)).withColumn("_row", grid)
+    return rows.join(cols, [key, "_row", "_col"]).drop("_row", "_col")
+
+
+def left_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    hot_rows: int = HOT_ROWS,
+    hot_left: DataFrame | None = None,
+    unique_right: bool = False,
+) -> DataFrame:
+    """``left.join(right, key, "left")`` with the hot keys joined apart from the others.
+
+    Keys hot on the left meet their few right rows by broadcast and do not shuffle; keys hot on the
+    right do so the other way round; keys hot on both are spread over a grid of salts. A hot NULL key
+    matches nothing and skips the join. All other keys join as usual, and without hot keys that is all
+    there is. ``hot_left`` may hand in known hot keys of the left side; ``unique_right`` says that the
+    right side has few rows per key and need not be counted.
     """
     if left.isStreaming:
         return left.join(right, key, "left")
-    hot = checkpoint(left.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select(key))
-    n_hot, n_null = hot.agg(F.count("*"), F.count_if(F.col(key).isNull())).first()
-    if n_hot == 0:
+    in_left = hot_keys(left, key, hot_rows) if hot_left is None else hot_left
+    flags = in_left.select(key, F.lit(1).alias("_left"), F.lit(0).alias("_right"))
+    if not unique_right:
+        in_right = hot_keys(right.where(F.col(key).isNotNull()), key, hot_rows)
+        flags = flags.unionByName(in_right.select(key, F.lit(0).alias("_left"), F.lit(1).alias("_right")))
+    flags = flags.groupBy(key).agg(F.max("_left").alias("_left"), F.max("_right").alias("_right"))
+    kinds = flags.select("_left", "_right", F.col(key).isNull().alias("_null")).distinct().collect()
+    if not kinds:
         return left.join(right, key, "left")
+    has_null = any(kind["_null"] for kind in kinds)
+    by_side = {(kind["_left"], kind["_right"]) for kind in kinds if not kind["_null"]}
+    hot = checkpoint(flags.where(F.col(key).isNotNull()))
+
+    rest = left.where(F.col(key).isNotNull()) if has_null else left
+    parts = []
+    if by_side:
+        hot_size = total_bytes(hot)
+        rest = rest.join(small_side(hot.select(key), hot_size), key, "left_anti")
+
+        def some(df: DataFrame, sides: tuple[int, int]) -> DataFrame:
+            chosen = hot.where((F.col("_left") == sides[0]) & (F.col("_right") == sides[1])).select(key)
+            return df.join(small_side(chosen, hot_size), key, "left_semi")
 
-    keys = hot.where(F.col(key).isNotNull())
-    listed = small_side(keys, n_hot)
-    rest = left.join(listed, key, "left_anti")
-    if n_null:
-        rest = rest.where(F.col(key).isNotNull())
-    parts = [rest.join(right, key, "left")]
-    if n_hot > n_null:
-        hot_right = right.join(listed, key, "left_semi")
-        hot_left = left.join(listed, key, "left_semi")
-        parts.append(hot_left.join(small_side(hot_right, hot_right.count()), key, "left"))
-    if n_null:
+        if (1, 0) in by_side:
+            few = some(right, (1, 0))
+            parts.append(some(left, (1, 0)).join(small_side(few, total_bytes(few)), key, "left"))
+        if (0, 1) in by_side:  # the key exists on the right, so an inner join keeps every left row
+            few = some(left, (0, 1))
+            parts.append(some(right, (0, 1)).join(small_side(few, total_bytes(few)), key))
+        if (1, 1) in by_side:
+            parts.append(_salted_join(some(left, (1, 1)), some(right, (1, 1)), key))
+    if has_null:
         missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != key]
-        parts.append(left.where(F.col(key).isNull()).select(key, *[c for c in left.columns if c != key], *missing))
-    joined = parts[0]
-    for part in parts[1:]:
+        parts.append(left.where(F.col(key).isNull()).select("*", *missing))
+    joined = rest.join(right, key, "left")
+    for part in parts:
         joined = joined.unionByName(part)
     return joined

@@ -7,10 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Upper row bounds. A group, join key or window partition larger than TASK_ROWS is split before it
-# reaches one task; a join side is broadcast only after it was counted and found below BROADCAST_ROWS.
+# A group, class or column with more than TASK_ROWS rows is split before it reaches one task. A join side
+# is broadcast only after it was measured and found below BROADCAST_BYTES.
 TASK_ROWS = 100_000
-BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",

@@ -47,7 +47,7 @@ def test_class_measures(spark):
     guess = [rng.choice([t, t, 0, 3]) for t in truth]  # class 3 is only ever guessed
     scores = by_hand(truth, guess)
     df = pairs(spark, truth, guess)
-    found = {r["class"]: tuple(r)[1:] for r in evaluate.class_scores(df, "t", "p").collect()}
+    found = {r["class"]: tuple(r)[1:] for r in evaluate.class_scores(evaluate.confusion_counts(df, "t", "p")).collect()}
     assert found == {c: pytest.approx(s) for c, s in scores.items()}
     row = evaluate.weighted_prf(df, "t", "p").first()
     weighted = [sum(s[i] * s[3] for s in scores.values()) / 200 for i in range(3)]

@@ -116,7 +116,7 @@ def test_encoding(spark):
 
 
 def test_long_class_list_joins_by_shuffle(spark, monkeypatch):
-    monkeypatch.setattr(encode, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(encode, "BROADCAST_BYTES", 1)
     df = spark.createDataFrame([("b", 1), ("a", 2), ("x", 3)], "s string, id int")
     classes = encode.label_encode_fit(df.where("id < 3"), ["s"])
     assert column(encode.label_encode_apply(df, classes), "s", "id") == [1, 0, -1]

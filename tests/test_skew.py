@@ -2,15 +2,20 @@ import random
 
 import pytest
 
+from ledgerloom.operators import skew
 from ledgerloom.operators.skew import left_join
 
 
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
 @pytest.mark.parametrize("hot_rows", [1, 20, 1_000_000])
-def test_same_rows_as_a_plain_left_join(spark, hot_rows):
+def test_same_rows_as_a_plain_left_join(spark, hot_rows, broadcast_bytes, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", broadcast_bytes)
     rng = random.Random(9)
-    left_rows = [(i, rng.choice([1, 1, 1, 2, 3, 4, None, None, 99])) for i in range(200)]
+    # 1 is hot on the left, 2 on both sides, 6 on the right, 4 and 99 have no partner.
+    left_rows = [(i, rng.choice([1, 1, 1, 2, 2, 3, 4, None, None, 99])) for i in range(300)] + [(900, 6), (901, 6)]
     left = spark.createDataFrame(left_rows, "id int, k long")
-    right = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (5, "d"), (None, "n")], "k long, name string")
+    right_keys = [1, 1, 3, 5, None, None] + [2] * 30 + [6] * 40
+    right = spark.createDataFrame([(k, f"n{i}") for i, k in enumerate(right_keys)], "k long, name string")
     found = sorted(map(str, left_join(left, right, "k", hot_rows).select("id", "k", "name").collect()))
     plain = sorted(map(str, left.join(right, "k", "left").select("id", "k", "name").collect()))
     assert found == plain
