@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.schema import numeric_columns, string_columns, unpivot
 from ledgerloom.operators.ranks import column_quantiles
-from ledgerloom.session import TASK_ROWS
 
 
 def drop_critical_nulls(df: DataFrame, critical_columns: tuple[str, ...] | list[str]) -> DataFrame:
@@ -15,7 +14,7 @@ def drop_critical_nulls(df: DataFrame, critical_columns: tuple[str, ...] | list[
     return df.na.drop(subset=list(critical_columns)) if critical_columns else df
 
 
-def column_median(df: DataFrame, columns: list[str], task_rows: int = TASK_ROWS) -> dict[str, float | None]:
+def column_median(df: DataFrame, columns: list[str], task_rows: int | None = None) -> dict[str, float | None]:
     """Exact median per numeric column."""
     found = column_quantiles(df, columns, [0.5], task_rows)
     return {c: None if q is None else q[0] for c, q in found.items()}
@@ -36,7 +35,7 @@ def column_mode(df: DataFrame, columns: list[str]) -> dict[str, str | None]:
 
 
 def fit_impute(
-    df: DataFrame, keep: tuple[str, ...] | list[str] = (), task_rows: int = TASK_ROWS
+    df: DataFrame, keep: tuple[str, ...] | list[str] = (), task_rows: int | None = None
 ) -> dict[str, float | str]:
     """Fill value per column: median of numbers, mode of strings. Columns in ``keep`` get none.
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.schema import numeric_columns
 from ledgerloom.operators.ranks import column_quantiles
-from ledgerloom.session import TASK_ROWS
 
 Fence = tuple[float, float]
 
@@ -20,7 +19,7 @@ def _fence(quartiles: list[float] | None, column: str) -> Fence:
     return q1 - reach, q3 + reach
 
 
-def fit_fences(df: DataFrame, columns: list[str], task_rows: int = TASK_ROWS) -> dict[str, Fence]:
+def fit_fences(df: DataFrame, columns: list[str], task_rows: int | None = None) -> dict[str, Fence]:
     """Fences of all columns from the same rows."""
     quartiles = column_quantiles(df, columns, [0.25, 0.75], task_rows)
     return {c: _fence(quartiles[c], c) for c in columns}
@@ -34,14 +33,14 @@ def apply_fences(df: DataFrame, fences: dict[str, Fence]) -> DataFrame:
 
 
 def iqr_filter_onepass(
-    df: DataFrame, exclude: tuple[str, ...] | list[str] = (), task_rows: int = TASK_ROWS
+    df: DataFrame, exclude: tuple[str, ...] | list[str] = (), task_rows: int | None = None
 ) -> DataFrame:
     """All fences from the input at once, then one filter. ``exclude`` spares keys and the target."""
     return apply_fences(df, fit_fences(df, numeric_columns(df, exclude), task_rows))
 
 
 def iqr_filter_sequential(
-    df: DataFrame, exclude: tuple[str, ...] | list[str] = (), task_rows: int = TASK_ROWS
+    df: DataFrame, exclude: tuple[str, ...] | list[str] = (), task_rows: int | None = None
 ) -> DataFrame:
     """Column by column in schema order, each fence over the rows that the earlier ones left.
 

@@ -34,7 +34,10 @@ def _renamed(df: DataFrame, keys: list[str], prefix: str, others: list[str]) ->
 def _scale(value: Column, logarithmic: bool) -> Column:
     """A number that never falls while ``value`` rises, halved so that differences cannot overflow."""
     number = F.least(F.greatest(value.cast("double"), F.lit(-_LARGEST)), F.lit(_LARGEST))
-    return F.signum(number) * F.log1p(F.abs(number)) if logarithmic else number / 2
+    if not logarithmic:
+        return number / 2
+    # The logarithm of the smallest double is above -745, so positive numbers stay above 0.
+    return F.when(number == 0, 0.0).otherwise(F.signum(number) * (F.ln(F.abs(number)) + 746))
 
 
 def _cell(value: Column, low: Column, high: Column, logarithmic: bool) -> Column:
@@ -50,7 +53,7 @@ def _cell(value: Column, low: Column, high: Column, logarithmic: bool) -> Column
 
 def _inside(rows: DataFrame, keys: list[str], value: str, ranges: DataFrame, measured: int) -> DataFrame:
     """Rows that fall into an open range of their group. Ranges are disjoint: a row matches one at most."""
-    side = small_side(_renamed(ranges, keys, "_r_", ["_lo", "_hi", "_below"]), measured)
+    side = small_side(_renamed(ranges, keys, "_r_", ["_lo", "_hi"]), measured)
     hit = _same_keys(keys, "_r_") & F.col(value).between(F.col("_lo"), F.col("_hi"))
     return rows.join(side, hit).drop(*["_r_" + k for k in keys])
 
@@ -65,96 +68,92 @@ def group_spans(rows: DataFrame, keys: list[str], value: str, copies: Column | N
 
 
 def values_at_ranks(
-    rows: DataFrame,
-    keys: list[str],
-    value: str,
-    ranks: DataFrame,
-    spans: DataFrame,
-    task_rows: int = TASK_ROWS,
+    rows: DataFrame, keys: list[str], value: str, spans: DataFrame, task_rows: int = TASK_ROWS
 ) -> DataFrame:
     """The value at each wanted 0-based rank of each group.
 
-    ``rows`` holds the keys and a number, ``ranks`` the keys and ``rank``, ``spans`` the stored
-    :func:`group_spans` of the wanted groups. The result has the keys, ``rank``, ``value`` and ``below``,
-    the number of rows that are strictly smaller. ``rows`` is read once per pass, so it should come from
-    storage.
+    ``rows`` holds the keys and a number. ``spans`` holds the :func:`group_spans` of the wanted groups
+    and the few wanted ``_ranks`` of each as an array; it must be stored or cheap. The result has the
+    columns of ``spans``, ``rank``, ``value`` and ``below``, the number of rows that are strictly
+    smaller. ``rows`` is read once per pass, so it should come from storage.
     """
     rows = rows.select(*keys, value)
-    by_group = Window.partitionBy(*keys, "_lo")
-    asked = _renamed(ranks.select(*keys, "rank").distinct(), keys, "_q_", ["rank"])
-    holds_rank = (
-        _same_keys(keys, "_q_")
-        & (F.col("rank") >= F.col("_below"))
-        & (F.col("rank") < F.col("_below") + F.col("_n"))
-    )
-    ranges = spans.select(*keys, "_lo", "_hi", "_n", F.lit(0).cast("long").alias("_below"))
+    carried = [c for c in spans.columns if c not in (*keys, "_lo", "_hi", "_n")]
+
+    def holding(parts: DataFrame, ranges: DataFrame, measured: int) -> DataFrame:
+        """Parts of ranges, in order of ``_at``, with the wanted ranks that they hold; others go."""
+        side = small_side(
+            _renamed(ranges, keys, "_r_", [F.col("_lo").alias("_r_lo"), F.col("_below").alias("_start"), *carried]),
+            measured,
+        )
+        order = Window.partitionBy(*keys, "_lo").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+        ended = parts.withColumn("_end", F.sum("_n").over(order))
+        placed = ended.join(side, _same_keys(keys, "_r_") & (F.col("_lo") == F.col("_r_lo")))
+        below = F.col("_start") + F.col("_end") - F.col("_n")
+        return (
+            placed.withColumn("_below", below)
+            .withColumn(
+                "_ranks",
+                F.filter("_ranks", lambda r: (r >= F.col("_below")) & (r < F.col("_below") + F.col("_n"))),
+            )
+            .where(F.size("_ranks") > 0)
+            .drop("_end", "_start", "_r_lo", *["_r_" + k for k in keys])
+        )
+
+    ranges = spans.withColumn("_below", F.lit(0).cast("long"))
     is_open = (F.col("_lo") < F.col("_hi")) & (F.col("_n") > task_rows)
     logarithmic = False  # by turns, so that a few extreme values cannot hold up the narrowing
     while True:
         n_open, measured = ranges.agg(F.count_if(is_open), F.sum(row_bytes(ranges))).first()
+        measured = measured or 0
         if not n_open:
             break
         cells = (
             _inside(rows, keys, value, ranges.where(is_open), measured)
-            .withColumn("_cell", _cell(F.col(value), F.col("_lo"), F.col("_hi"), logarithmic))
-            .groupBy(*keys, "_lo", "_below", "_cell")
+            .withColumn("_at", _cell(F.col(value), F.col("_lo"), F.col("_hi"), logarithmic))
+            .groupBy(*keys, "_lo", "_at")
             .agg(F.min(value).alias("_min"), F.max(value).alias("_max"), F.count("*").alias("_n"))
         )
-        running = F.sum("_n").over(by_group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0))
-        narrowed = cells.withColumn("_below", F.col("_below") + running - F.col("_n")).select(
-            *keys, F.col("_min").alias("_lo"), F.col("_max").alias("_hi"), "_n", "_below"
-        )
-        ranges = checkpoint(
-            ranges.where(~is_open).unionByName(narrowed.join(asked, holds_rank, "left_semi"))
+        narrowed = holding(cells, ranges.where(is_open), measured).select(
+            *keys, F.col("_min").alias("_lo"), F.col("_max").alias("_hi"), "_n", "_below", *carried
         )
+        ranges = checkpoint(ranges.where(~is_open).unionByName(narrowed))
         logarithmic = not logarithmic
 
-    solved = ranges.where(F.col("_lo") == F.col("_hi")).select(
-        *keys, F.col("_lo").alias("value"), "_n", "_below"
-    )
+    several = ranges.where(F.col("_lo") < F.col("_hi"))
     counted = (
-        _inside(rows, keys, value, ranges.where(F.col("_lo") < F.col("_hi")), measured or 0)
-        .groupBy(*keys, "_lo", "_below", value)
+        _inside(rows, keys, value, several, measured)
+        .groupBy(*keys, "_lo", F.col(value).alias("_at"))
         .agg(F.count("*").alias("_n"))
     )
-    running = F.sum("_n").over(by_group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    sorted_out = counted.withColumn("_below", F.col("_below") + running - F.col("_n")).select(
-        *keys, F.col(value).alias("value"), "_n", "_below"
-    )
-    return (
-        solved.unionByName(sorted_out)
-        .join(asked, holds_rank)
-        .select(*keys, "rank", "value", F.col("_below").alias("below"))
-    )
+    result = [*keys, *carried, F.col("_below").alias("below")]
+    solved = ranges.where(F.col("_lo") == F.col("_hi")).select(*result, F.col("_lo").alias("value"))
+    sorted_out = holding(counted, several, measured).select(*result, F.col("_at").alias("value"))
+    return solved.unionByName(sorted_out).withColumn("rank", F.explode("_ranks")).drop("_ranks")
 
 
 def _interpolated(
     rows: DataFrame, keys: list[str], value: str, probabilities: list[float], spans: DataFrame, task_rows: int
 ) -> DataFrame:
     """Keys and ``quantiles`` of large groups, from the two neighbouring ranks of each probability."""
-    wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)])
-    position = F.col("w.p") * (F.col("_n") * F.col("_copies") - 1)
-    spots = spans.withColumn("w", F.explode(wanted)).select(
-        *keys, "_copies", F.col("w.i").alias("_i"), position.alias("_at"),
-        F.floor(position).alias("_down"), F.ceil(position).alias("_up"),
-    )
-    # `_copies` equal copies of each row sit side by side, so a rank divides by their number.
-    neighbours = F.array(
-        F.struct(F.col("_down").alias("at"), F.when(F.col("_down") == F.col("_up"), 1.0)
-                 .otherwise(F.col("_up") - F.col("_at")).alias("share")),
-        F.struct(F.col("_up").alias("at"), (F.col("_at") - F.col("_down")).alias("share")),
-    )
-    spots = spots.withColumn("_s", F.explode(neighbours)).where("_s.share > 0").select(
-        *keys, "_i", F.col("_s.share").alias("_share"),
-        F.floor(F.col("_s.at") / F.col("_copies")).cast("long").alias("rank"),
-    )
-    found = values_at_ranks(rows, keys, value, spots, spans, task_rows)
-    found = _renamed(found, keys, "_f_", [F.col("rank").alias("_rank"), "value"])
-    matched = spots.join(found, _same_keys(keys, "_f_") & (F.col("rank") == F.col("_rank")))
-    part = F.col("_share") * F.col("value")
-    return matched.groupBy(*keys).agg(
-        F.array(*[F.sum(F.when(F.col("_i") == i, part)) for i in range(len(probabilities))]).alias("quantiles")
-    )
+    spots = []
+    for p in probabilities:
+        at = F.lit(float(p)) * (F.col("_size") * F.col("_copies") - 1)
+        down, up = F.floor(at), F.ceil(at)
+        # `_copies` equal copies of each row sit side by side, so a rank divides by their number.
+        low, high = (F.floor(r / F.col("_copies")).cast("long") for r in (down, up))
+        spots.append((low, F.when(down == up, 1.0).otherwise(up - at), high, at - down))
+    wanted = F.array_distinct(F.array(*[rank for spot in spots for rank in (spot[0], spot[2])]))
+    sized = spans.withColumn("_size", F.col("_n")).withColumn("_ranks", wanted)
+    found = values_at_ranks(rows, keys, value, sized, task_rows)
+    parts = [
+        F.sum(
+            F.when(F.col("rank") == low, share_low * F.col("value")).otherwise(0.0)
+            + F.when((F.col("rank") == high) & (share_high > 0), share_high * F.col("value")).otherwise(0.0)
+        )
+        for low, share_low, high, share_high in spots
+    ]
+    return found.groupBy(*keys).agg(F.array(*parts).alias("quantiles"))
 
 
 def aggregate_with_quantiles(
@@ -191,7 +190,7 @@ def aggregate_with_quantiles(
 
 
 def column_quantiles(
-    df: DataFrame, columns: list[str], probabilities: list[float], task_rows: int = TASK_ROWS
+    df: DataFrame, columns: list[str], probabilities: list[float], task_rows: int | None = None
 ) -> dict[str, list[float] | None]:
     """Exact quantiles of whole columns; None for a column without values.
 
@@ -200,6 +199,8 @@ def column_quantiles(
     """
     if not columns:
         return {}
+    if task_rows is None:  # a few columns share one task, where grouped buffers may be a hundred
+        task_rows = 20 * TASK_ROWS // len(columns)
     numbers = [F.col(c).cast("double") for c in columns]
     ends = df.agg(*[F.struct(F.count(x), F.min(x), F.max(x)) for x in numbers]).first()
     if max(n for n, low, high in ends) <= task_rows:

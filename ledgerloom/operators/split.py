@@ -65,13 +65,14 @@ def stratified_split(
     if n_test < n_classes or n - n_test < n_classes:
         raise ValueError(f"{n_test} test and {n - n_test} train rows cannot hold all {n_classes} classes")
 
-    quotas = class_quotas(counts, label, n, test_size)
-    ranks = quotas.where("quota > 0").select(label, (F.col("quota") - 1).alias("rank"))
-    borders = values_at_ranks(ordered, [label], "_order", ranks, spans, task_rows)
-    limits = borders.join(quotas, label).select(
-        label, F.col("value").alias("_border"), (F.col("quota") - F.col("below")).alias("_seats")
+    quotas = class_quotas(counts, label, n, test_size).where("quota > 0")
+    wanted = checkpoint(  # one row per class
+        spans.join(F.broadcast(quotas), label).withColumn("_ranks", F.array(F.col("quota") - 1))
+    )
+    borders = values_at_ranks(ordered, [label], "_order", wanted, task_rows)
+    limits = checkpoint(
+        borders.select(label, F.col("value").alias("_border"), (F.col("quota") - F.col("below")).alias("_seats"))
     )
-    limits = checkpoint(limits)  # one row per class
     seats = Window.partitionBy(label).orderBy(name)
     last = (
         ordered.join(F.broadcast(limits), label)
