@@ -16,7 +16,7 @@ from ledgerloom.session import build_session
 HEADLINE = [
     "project_training_cols", "customer_metrics", "customer_metrics_from_sources", "training_table", "dq_raw",
     "dq_report", "percentile_cont", "percentile_cont_hot_groups", "column_quartiles", "column_quartiles_long",
-    "impute_missing", "iqr_filter_onepass", "iqr_filter_sequential", "customer_features", "label_encode_apply",
+    "impute", "iqr_filter_onepass", "iqr_filter_sequential", "customer_features", "label_encode_apply",
     "standard_scale_apply", "prepare_dataframe", "stratified_split", "weighted_prf", "auc_binary",
     "auc_ovr_weighted", "train_random_forest", "train_logistic", "batch_score", "daily_retraining", "rate_alert",
     "rate_alert_stream", "arrival_source",

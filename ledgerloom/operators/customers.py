@@ -62,23 +62,22 @@ def _finish(grouped: DataFrame, params: RunParams) -> DataFrame:
 def customer_metrics(raw: DataFrame, params: RunParams, task_rows: int = TASK_ROWS) -> DataFrame:
     """Metrics per customer and segment over the extracted rows.
 
-    Rows count as often as the campaign join repeated them. With ``dedupe_fanout`` each transaction
+    ``raw`` should be the stored rows, as they are read three times. Rows count as often as the campaign
+    join repeated them. With ``dedupe_fanout`` each transaction
     counts once, while campaigns and channels are still counted over all rows.
     """
     valid = clean_transactions(raw, params).where(F.col("amount").isNotNull())
-    exposure = [
+    rows = valid.dropDuplicates(["transaction_id", *GROUP]) if params.dedupe_fanout else valid
+    grouped = aggregate_with_quantiles(
+        rows, GROUP, "amount", QUARTERS, [*_spread(), F.count("*").alias("transaction_count")], task_rows=task_rows
+    )
+    # Counted apart: in one aggregation each distinct count would repeat every row, amounts included.
+    contacts = valid.select(*GROUP, "campaign_id", "channel").distinct()
+    exposure = contacts.groupBy(*GROUP).agg(
         F.count_distinct("campaign_id").alias("campaign_exposure_count"),
         F.count_distinct("channel").alias("channel_count"),
-    ]
-    size = F.count("*").alias("transaction_count")
-    if not params.dedupe_fanout:
-        grouped = aggregate_with_quantiles(
-            valid, GROUP, "amount", QUARTERS, [*_spread(), size, *exposure], task_rows=task_rows
-        )
-        return _finish(grouped, params)
-    once = valid.dropDuplicates(["transaction_id", *GROUP])
-    grouped = aggregate_with_quantiles(once, GROUP, "amount", QUARTERS, [*_spread(), size], task_rows=task_rows)
-    return _finish(grouped.join(valid.groupBy(*GROUP).agg(*exposure), GROUP), params)
+    )
+    return _finish(grouped.join(exposure, GROUP), params)
 
 
 def customer_metrics_from_sources(

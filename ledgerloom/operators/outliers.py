@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.schema import numeric_columns
-from ledgerloom.operators.ranks import column_quantiles
+from ledgerloom.operators.ranks import between, column_quantiles, column_values, neighbours
 
 Fence = tuple[float, float]
 
@@ -25,6 +25,40 @@ def fit_fences(df: DataFrame, columns: list[str], task_rows: int | None = None)
     return {c: _fence(quartiles[c], c) for c in columns}
 
 
+def fit_filled_fences(
+    df: DataFrame, columns: list[str], task_rows: int | None = None
+) -> tuple[dict[str, float], dict[str, Fence]]:
+    """Medians, and the fences of the columns after their gaps are filled with them, from one search.
+
+    The filled column holds the values in order with the copies of the median in their middle, so each of
+    its ranks is either such a copy or a rank among the values themselves.
+    """
+
+    def original(n: int, missing: int, rank: int) -> int | None:
+        """Rank among the values; None for a copy of the median."""
+        if rank < n // 2:
+            return rank
+        return None if rank < n // 2 + missing else rank - missing
+
+    def ranks_of(n: int, missing: int) -> list[int]:
+        quartiles = [original(n, missing, r) for p in (0.25, 0.75) for r in neighbours(n + missing, p)[:2]]
+        return [*neighbours(n, 0.5)[:2], *[r for r in quartiles if r is not None]]
+
+    medians, fences = {}, {}
+    for column, (n, missing, value) in column_values(df, columns, ranks_of, task_rows).items():
+        if not n:
+            raise ValueError(f"no value to learn from in column {column}")
+        low, high, share = neighbours(n, 0.5)
+        medians[column] = between(value[low], value[high], share)
+        quartiles = []
+        for p in (0.25, 0.75):
+            low, high, share = neighbours(n + missing, p)
+            ends = [original(n, missing, r) for r in (low, high)]
+            quartiles.append(between(*[medians[column] if r is None else value[r] for r in ends], share))
+        fences[column] = _fence(quartiles, column)
+    return medians, fences
+
+
 def apply_fences(df: DataFrame, fences: dict[str, Fence]) -> DataFrame:
     """Rows within every fence, ends included; a NULL is outside. Literal bounds reach the scan."""
     for column, (low, high) in fences.items():

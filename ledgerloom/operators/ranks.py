@@ -9,6 +9,8 @@ The passes end when a cell is small or holds one value. Rows are never shuffled,
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -189,31 +191,68 @@ def aggregate_with_quantiles(
     return light.unionByName(quantiles)
 
 
-def column_quantiles(
-    df: DataFrame, columns: list[str], probabilities: list[float], task_rows: int | None = None
-) -> dict[str, list[float] | None]:
-    """Exact quantiles of whole columns; None for a column without values.
-
-    The result is one short list per column. Columns of up to ``task_rows`` values take one aggregation;
-    longer ones are narrowed together, one scan per pass for all columns.
+def column_values(
+    df: DataFrame,
+    columns: list[str],
+    ranks_of: Callable[[int, int], list[int]],
+    task_rows: int | None = None,
+) -> dict[str, tuple[int, int, dict[int, float]]]:
+    """Values at chosen ranks of whole columns: ``(filled, missing, {rank: value})`` per column.
+
+    ``ranks_of(filled, missing)`` names the few 0-based ranks wanted among the values of a column. Columns
+    of up to ``task_rows`` values are sorted by one aggregation; longer ones are narrowed together, one
+    scan per pass for all columns.
     """
     if not columns:
         return {}
     if task_rows is None:  # a few columns share one task, where grouped buffers may be a hundred
         task_rows = 20 * TASK_ROWS // len(columns)
     numbers = [F.col(c).cast("double") for c in columns]
-    ends = df.agg(*[F.struct(F.count(x), F.min(x), F.max(x)) for x in numbers]).first()
+    total, *ends = df.agg(F.count("*"), *[F.struct(F.count(x), F.min(x), F.max(x)) for x in numbers]).first()
+    wanted = {c: sorted(set(ranks_of(n, total - n))) if n else [] for c, (n, low, high) in zip(columns, ends)}
     if max(n for n, low, high in ends) <= task_rows:
-        row = df.agg(*[F.percentile(x, probabilities) for x in numbers]).first()
-        return dict(zip(columns, row))
-    spans = df.sparkSession.createDataFrame(
-        [(c, n, low, high, 1) for c, (n, low, high) in zip(columns, ends) if n],
-        "column string, _n long, _lo double, _hi double, _copies long",
-    )
-    pairs = unpivot(df, columns, "double")
-    rows = _interpolated(pairs, ["column"], "value", probabilities, spans, task_rows).collect()
-    found = {row["column"]: list(row["quantiles"]) for row in rows}
-    return {c: found.get(c) for c in columns}
+        ordered = [F.sort_array(F.collect_list(x)) for x in numbers]
+        picked = df.agg(
+            *[
+                F.array(*[F.get(values, F.lit(r)) for r in wanted[c]]).cast("array<double>")
+                for c, values in zip(columns, ordered)
+            ]
+        ).first()
+        found = {c: dict(zip(wanted[c], values)) for c, values in zip(columns, picked)}
+    else:
+        spans = df.sparkSession.createDataFrame(
+            [(c, n, low, high, wanted[c]) for c, (n, low, high) in zip(columns, ends) if n],
+            "column string, _n long, _lo double, _hi double, _ranks array<long>",
+        )
+        found = {c: {} for c in columns}
+        for row in values_at_ranks(unpivot(df, columns, "double"), ["column"], "value", spans, task_rows).collect():
+            found[row["column"]][row["rank"]] = row["value"]
+    return {c: (n, total - n, found[c]) for c, (n, low, high) in zip(columns, ends)}
+
+
+def neighbours(n: int, p: float) -> tuple[int, int, float]:
+    """The two ranks around probability ``p`` of ``n`` values, and the share of the upper one."""
+    at = p * (n - 1)
+    return math.floor(at), math.ceil(at), at - math.floor(at)
+
+
+def between(low: float, high: float, share: float) -> float:
+    return low if share == 0 else (1 - share) * low + share * high
+
+
+def column_quantiles(
+    df: DataFrame, columns: list[str], probabilities: list[float], task_rows: int | None = None
+) -> dict[str, list[float] | None]:
+    """Exact, linearly interpolated quantiles of whole columns; None for a column without values."""
+
+    def ranks_of(n: int, missing: int) -> list[int]:
+        return [r for p in probabilities for r in neighbours(n, p)[:2]]
+
+    quantiles = {}
+    for c, (n, _, value) in column_values(df, columns, ranks_of, task_rows).items():
+        spots = [neighbours(n, p) for p in probabilities] if n else []
+        quantiles[c] = [between(value[low], value[high], share) for low, high, share in spots] or None
+    return quantiles
 
 
 def index_sorted(df: DataFrame, group: str, value: str) -> DataFrame:

@@ -14,7 +14,7 @@ from ledgerloom.operators.encode import (
 )
 from ledgerloom.operators.features import customer_features, date_features, split_target
 from ledgerloom.operators.impute import apply_impute, drop_critical_nulls, fit_impute
-from ledgerloom.operators.outliers import iqr_filter_onepass, iqr_filter_sequential
+from ledgerloom.operators.outliers import apply_fences, fit_filled_fences, iqr_filter_sequential
 from ledgerloom.operators.split import stratified_split
 from ledgerloom.params import FeatureParams
 from ledgerloom.session import checkpoint
@@ -31,8 +31,9 @@ def _clean(df: DataFrame, params: FeatureParams) -> tuple[dict, DataFrame]:
     if params.strict_reference:
         fills = fit_impute(kept)
         return fills, iqr_filter_sequential(apply_impute(kept, fills))
-    fills = fit_impute(kept, _spared(params))
-    return fills, iqr_filter_onepass(apply_impute(kept, fills), _spared(params))
+    medians, fences = fit_filled_fences(kept, numeric_columns(kept, _spared(params)))
+    fills = {**medians, **fit_impute(kept, [*_spared(params), *medians])}
+    return fills, apply_fences(apply_impute(kept, fills), fences)
 
 
 def clean_data(df: DataFrame, params: FeatureParams) -> DataFrame:
@@ -107,8 +108,8 @@ def _categorical(df: DataFrame, params: FeatureParams) -> list[str]:
 def fit_features(df: DataFrame, params: FeatureParams) -> tuple[FeatureModel, DataFrame]:
     """Fit on training rows. Returns the fitted model and the prepared training rows.
 
-    The passes are: one count, medians, modes, fences, classes, and one aggregation for the scales.
-    Between them only bounds and fills are kept; rows come from storage again each time.
+    The passes are: one search for medians and fences, modes, classes, and one aggregation for the
+    scales. Between them only numbers and class lists are kept; rows come from storage again each time.
     """
     fills, cleaned = _clean(df, params)
     featured = customer_features(date_features(cleaned, params.date_columns))

@@ -1,0 +1,83 @@
+"""What the physical plans must and must not do."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks import mappings as m
+from checks.queries import QUERIES
+from ledgerloom.operators import customers, evaluate, extract, features, outliers, quality
+from ledgerloom.streaming import alerts
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def no_gathering(plan: str) -> None:
+    """Rows meet in one task only as the partial results of a total, or as counts per sorted block."""
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert re.search(r"Aggregate\(keys=\[(_groupingexpression#\d+L)?\]", lines[i + 1]), lines[i + 1]
+
+
+def read_columns(plan: str) -> set[str]:
+    return {c for schema in re.findall(r"ReadSchema: struct<([^>]*)>", plan) for c in re.findall(r"(\w+):", schema)}
+
+
+def test_window_reaches_the_scan(spark, sf):
+    plan = plan_of(extract.extract_raw(*m.t1_sources(spark, sf), m.T1))
+    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
+    assert {"o_orderstatus", "o_orderpriority", "c_name", "props"}.isdisjoint(read_columns(plan))
+
+
+def test_transactions_are_shuffled_once_for_both_joins(spark, sf):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(extract.extract_raw(*m.t1_sources(spark, sf), m.T1))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 2
+    # One exchange for each of the three sources, and one for the DISTINCT of the campaigns.
+    assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_alert_filter_reaches_the_scan(spark, sf):
+    plan = plan_of(alerts.rate_alert(m.table(spark, sf, "events"), "error", 0.1))
+    assert "EqualTo(event_type,error)" in plan
+    assert read_columns(plan) == {"ts", "event_type"}
+
+
+def test_fences_are_literal_filters_of_the_scan(spark, sf):
+    lines = m.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_tax")
+    plan = plan_of(outliers.iqr_filter_onepass(lines, ["l_orderkey"]))
+    assert "GreaterThanOrEqual(l_linenumber" in plan and "Exchange" not in plan
+    assert read_columns(plan) == {"l_orderkey", "l_linenumber", "l_tax"}
+
+
+@pytest.mark.parametrize("name", [
+    "dq_raw", "dq_report", "training_table", "minmax_normalise", "customer_features", "weighted_prf", "auc_binary",
+    "auc_ovr_weighted", "column_classes", "stratified_split", "prepare_dataframe", "classification_report",
+])
+def test_no_task_sees_all_rows(spark, sf, name):
+    no_gathering(plan_of(QUERIES[name](spark, sf)))
+
+
+def test_built_in_expressions_only(spark, sf):
+    raw = extract.extract_raw(*m.t1_sources(spark, sf), m.T1)
+    for df in (raw, quality.dq_raw(raw), customers.customer_metrics(raw, m.T1), features.customer_features(raw),
+               evaluate.weighted_prf(raw, "campaign_id", "product_id")):
+        assert not re.search("Python|Arrow", plan_of(df))
+
+
+def test_stats_join_does_not_use_a_window(spark, sf):
+    """A window per customer would put a hot customer into one task."""
+    plan = plan_of(features.customer_features(m.t1_transactions(spark, sf)))
+    assert "Window" not in plan and "partial_avg" in plan
+
+
+def test_reports_combine_before_the_shuffle(spark, sf):
+    plan = plan_of(quality.dq_raw(m.t1_transactions(spark, sf).withColumn("transaction_date", F.col("transaction_date"))))
+    assert "partial_count(1)" in plan

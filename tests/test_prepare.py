@@ -85,6 +85,20 @@ def test_onepass_filter_spares_label_and_keys(spark, transactions):
     assert sorted(column(outliers.iqr_filter_onepass(df), "v", "v")) == [1, 2, 3, 4]
 
 
+@pytest.mark.parametrize("task_rows", [4, 100_000])
+@pytest.mark.parametrize("missing", [0, 1, 7, 60])
+@pytest.mark.parametrize("n", [1, 2, 5, 40, 41])
+def test_medians_and_fences_from_one_search(spark, n, missing, task_rows):
+    rng = np.random.default_rng(n)
+    values = [float(x) for x in rng.normal(0, 3, n).round(1)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)] * missing, "v double")
+    medians, fences = outliers.fit_filled_fences(df, ["v"], task_rows)
+    middle = statistics.median(values)
+    q1, q3 = np.quantile(values + [middle] * missing, [0.25, 0.75])
+    assert medians["v"] == pytest.approx(middle)
+    assert fences["v"] == pytest.approx((q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)))
+
+
 def test_date_parts(spark):
     df = spark.createDataFrame([("2024-01-01",), ("2024-01-07 23:30:00",)], "d string")
     rows = features.date_features(df, ["d", "nowhere"]).orderBy("d").collect()
