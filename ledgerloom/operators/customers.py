@@ -10,9 +10,9 @@ from ledgerloom.functions.cleaning import (
 )
 from ledgerloom.operators.extract import lookback_filter
 from ledgerloom.operators.ranks import aggregate_with_quantiles
-from ledgerloom.operators.skew import left_join
+from ledgerloom.operators.skew import hot_keys, left_join, small_side, total_bytes
 from ledgerloom.params import RunParams
-from ledgerloom.session import TASK_ROWS
+from ledgerloom.session import BROADCAST_BYTES, TASK_ROWS, checkpoint
 
 GROUP = ["customer_id", "customer_segment"]
 METRIC_COLUMNS = [
@@ -110,23 +110,38 @@ def customer_metrics_from_sources(
         date_sanitise("transaction_date", params.date_floor, params.as_of).alias("transaction_date"),
     ).where(F.col("customer_id").isNotNull() & F.col("amount").isNotNull())
     repeats = F.coalesce("_campaign_rows", F.lit(1)) * F.coalesce("_profile_rows", F.lit(1))
-    weighted = left_join(rows, customers, "customer_id", unique_right=True).select(
-        "customer_id", "amount", "transaction_date",
-        segment_default("customer_segment").alias("customer_segment"),
-        (F.lit(1).cast("long") if params.dedupe_fanout else repeats).alias("_copies"),
-        F.coalesce("campaign_exposure_count", F.lit(0)).alias("campaign_exposure_count"),
-        F.coalesce("channel_count", F.lit(0)).alias("channel_count"),
-    )
     aggregates = [
         *_spread(),
         F.sum("_copies").alias("transaction_count"),
         F.max("campaign_exposure_count").alias("campaign_exposure_count"),
         F.max("channel_count").alias("channel_count"),
     ]
-    grouped = aggregate_with_quantiles(
-        weighted, GROUP, "amount", QUARTERS, aggregates, weight="_copies", task_rows=task_rows
-    )
-    return _finish(grouped, params)
+
+    def grouped(joined: DataFrame, limit: int | None) -> DataFrame:
+        weighted = joined.select(
+            "customer_id", "amount", "transaction_date",
+            segment_default("customer_segment").alias("customer_segment"),
+            (F.lit(1).cast("long") if params.dedupe_fanout else repeats).alias("_copies"),
+            F.coalesce("campaign_exposure_count", F.lit(0)).alias("campaign_exposure_count"),
+            F.coalesce("channel_count", F.lit(0)).alias("channel_count"),
+        )
+        return aggregate_with_quantiles(
+            weighted, GROUP, "amount", QUARTERS, aggregates, weight="_copies", task_rows=limit
+        )
+
+    hot = hot_keys(rows, "customer_id", task_rows)
+    if hot.isEmpty():
+        return _finish(grouped(rows.join(customers, "customer_id", "left"), None), params)
+    # Hot customers stay where they are: their list and their few customer rows come to them.
+    listed = small_side(hot, total_bytes(hot))
+    few = checkpoint(customers.join(listed, "customer_id", "left_semi"))
+    heavy = rows.join(listed, "customer_id", "left_semi")
+    if total_bytes(few) <= BROADCAST_BYTES:
+        heavy = heavy.join(F.broadcast(few), "customer_id", "left")
+    else:
+        heavy = left_join(heavy, few, "customer_id", unique_right=True)
+    light = rows.join(listed, "customer_id", "left_anti").join(customers, "customer_id", "left")
+    return _finish(grouped(light, None).unionByName(grouped(heavy, task_rows)), params)
 
 
 def outlier_exclude(metrics: DataFrame) -> DataFrame:

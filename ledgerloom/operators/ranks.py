@@ -76,8 +76,8 @@ def values_at_ranks(
 
     ``rows`` holds the keys and a number. ``spans`` holds the :func:`group_spans` of the wanted groups
     and the few wanted ``_ranks`` of each as an array; it must be stored or cheap. The result has the
-    columns of ``spans``, ``rank``, ``value`` and ``below``, the number of rows that are strictly
-    smaller. ``rows`` is read once per pass, so it should come from storage.
+    columns of ``spans``, ``rank``, ``value``, ``ties``, the number of rows with that value, and
+    ``below``, the number of smaller ones. ``rows`` is read once per pass, so it should come from storage.
     """
     rows = rows.select(*keys, value)
     carried = [c for c in spans.columns if c not in (*keys, "_lo", "_hi", "_n")]
@@ -128,7 +128,7 @@ def values_at_ranks(
         .groupBy(*keys, "_lo", F.col(value).alias("_at"))
         .agg(F.count("*").alias("_n"))
     )
-    result = [*keys, *carried, F.col("_below").alias("below")]
+    result = [*keys, *carried, F.col("_below").alias("below"), F.col("_n").alias("ties")]
     solved = ranges.where(F.col("_lo") == F.col("_hi")).select(*result, F.col("_lo").alias("value"))
     sorted_out = holding(counted, several, measured).select(*result, F.col("_at").alias("value"))
     return solved.unionByName(sorted_out).withColumn("rank", F.explode("_ranks")).drop("_ranks")
@@ -165,18 +165,21 @@ def aggregate_with_quantiles(
     probabilities: list[float],
     aggregates: list[Column] | None = None,
     weight: str | None = None,
-    task_rows: int = TASK_ROWS,
+    task_rows: int | None = TASK_ROWS,
 ) -> DataFrame:
     """Group by ``keys``: the given aggregates and ``quantiles``, exact and linearly interpolated.
 
     ``weight`` names an integer column, equal within a group, that says how often each row counts. Rows
     without a value do not count for the quantiles. The groups above ``task_rows`` are found by one scan
-    whose counts are combined before the shuffle; without any, all is one aggregation.
+    whose counts are combined before the shuffle; without any, all is one aggregation. ``task_rows=None``
+    says that no group is large.
     """
     aggregates = list(aggregates or [])
     copies = F.col(weight) if weight else None
-    hot = checkpoint(group_spans(df, keys, value, copies).where(F.col("_n") > task_rows))
     builtin = F.percentile(value, probabilities, F.lit(1) if copies is None else copies).alias("quantiles")
+    if task_rows is None:
+        return df.groupBy(*keys).agg(*aggregates, builtin)
+    hot = checkpoint(group_spans(df, keys, value, copies).where(F.col("_n") > task_rows))
     if hot.isEmpty():
         return df.groupBy(*keys).agg(*aggregates, builtin)
 

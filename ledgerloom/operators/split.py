@@ -7,10 +7,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.ranks import group_spans, values_at_ranks
+from ledgerloom.operators.ranks import values_at_ranks
 from ledgerloom.session import TASK_ROWS, checkpoint
 
 
+HIGHEST = (1 << 60) - 1
+
+
 def split_order(keys: list[str], seed: int) -> Column:
     """Pseudo-random position of a row: 60 bits of a digest of seed and keys, equal on every engine."""
     digest = F.md5(F.concat_ws("-", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
@@ -50,8 +53,7 @@ def stratified_split(
     keys = [key] if isinstance(key, str) else list(key)
     name = F.struct(*keys)
     ordered = df.withColumn("_order", split_order(keys, seed))
-    spans = checkpoint(group_spans(ordered, [label], "_order"))
-    counts = spans.select(label, F.col("_n").alias("n"))
+    counts = checkpoint(df.groupBy(label).agg(F.count("*").alias("n")))
     n, n_classes, smallest, n_null = counts.agg(
         F.sum("n"), F.count("*"), F.min("n"), F.count_if(F.col(label).isNull())
     ).first()
@@ -66,23 +68,28 @@ def stratified_split(
         raise ValueError(f"{n_test} test and {n - n_test} train rows cannot hold all {n_classes} classes")
 
     quotas = class_quotas(counts, label, n, test_size).where("quota > 0")
-    wanted = checkpoint(  # one row per class
-        spans.join(F.broadcast(quotas), label).withColumn("_ranks", F.array(F.col("quota") - 1))
-    )
-    borders = values_at_ranks(ordered, [label], "_order", wanted, task_rows)
-    limits = checkpoint(
-        borders.select(label, F.col("value").alias("_border"), (F.col("quota") - F.col("below")).alias("_seats"))
+    spans = counts.join(F.broadcast(quotas), label).select(
+        label, F.col("n").alias("_n"), F.lit(0).cast("long").alias("_lo"), F.lit(HIGHEST).alias("_hi"),
+        F.array(F.col("quota") - 1).alias("_ranks"),
     )
-    seats = Window.partitionBy(label).orderBy(name)
-    last = (
-        ordered.join(F.broadcast(limits), label)
-        .where(F.col("_order") == F.col("_border"))
-        .withColumn("_seat", F.row_number().over(seats))
-        .where(F.col("_seat") == F.col("_seats"))
-        .select(label, name.alias("_last_key"))
+    borders = values_at_ranks(ordered, [label], "_order", checkpoint(spans), task_rows)
+    limits = borders.select(
+        label, F.col("value").alias("_border"), (F.col("rank") + 1 - F.col("below")).alias("_seats"), "ties",
     )
-    limits = F.broadcast(checkpoint(limits.join(last, label)))
+    limits = checkpoint(limits.withColumn("_last_key", F.lit(None).cast(df.select(name.alias("k")).schema["k"].dataType)))
+    if not limits.where("ties > _seats").isEmpty():  # rows that share the border's position: by key
+        seats = Window.partitionBy(label).orderBy(name)
+        last = (
+            ordered.join(F.broadcast(limits.where("ties > _seats")), label)
+            .where(F.col("_order") == F.col("_border"))
+            .withColumn("_seat", F.row_number().over(seats))
+            .where(F.col("_seat") == F.col("_seats"))
+            .select(label, name.alias("_key"))
+        )
+        limits = checkpoint(limits.drop("_last_key").join(last.withColumnRenamed("_key", "_last_key"), label, "left"))
+    limits = F.broadcast(limits.select(label, "_border", "_last_key"))  # one row per class
     order, border = F.col("_order"), F.col("_border")
-    is_test = (order < border) | ((order == border) & (name <= F.col("_last_key")))
+    seated = F.col("_last_key").isNull() | (name <= F.col("_last_key"))
+    is_test = (order < border) | ((order == border) & seated)
     placed = ordered.join(limits, label, "left").withColumn("is_test", F.coalesce(is_test, F.lit(False)))
     return placed.select(*df.columns, "is_test")

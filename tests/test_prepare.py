@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.schema import numeric_columns, string_columns
-from ledgerloom.operators import encode, features, impute, outliers
+from ledgerloom.operators import encode, features, impute, outliers, split
 from ledgerloom.operators.split import stratified_split
 from ledgerloom.params import FeatureParams
 from ledgerloom.plans import features as plan
@@ -174,6 +174,17 @@ def test_split_sizes(spark, transactions, task_rows):
     assert chosen != {r[0] for r in other.where("is_test").select("transaction_id").collect()}
 
 
+def test_split_with_rows_tied_at_the_border(spark, transactions, monkeypatch):
+    """Positions that collide: the seats left at the border go by key."""
+    monkeypatch.setattr(split, "split_order", lambda keys, seed: F.pmod(F.col(keys[0]), F.lit(3)))
+    marked = split.stratified_split(transactions, "transaction_id", "target", 0.4).collect()
+    assert sum(r["is_test"] for r in marked) == 40
+    for label in (0, 1):
+        rows = sorted((r["transaction_id"] % 3, r["transaction_id"], r["is_test"]) for r in marked if r["target"] == label)
+        flags = [r[2] for r in rows]
+        assert flags == sorted(flags, reverse=True)
+
+
 def test_split_refuses_what_it_cannot_divide(spark):
     df = spark.createDataFrame([(i, "ab"[i > 3]) for i in range(5)], "id int, c string")
     with pytest.raises(ValueError, match="1 member"):
