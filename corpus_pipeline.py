@@ -4,8 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, mixing, simhash
+from ledgerloom.llm import decontaminate, mixing, simhash, token_files, toxicity
+from ledgerloom.llm.queries import tokenizer_path
 from ledgerloom.llm.text import documents, stored
+from ledgerloom.session import new_shared_path
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.7 or more go."""
+    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,13 +30,22 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The corpus as token files, and what they say about each document in them."""
+    path = new_shared_path(spark, "tokens")
+    token_files.write_tokens(docs, path, tokenizer_path())
+    return token_files.read_tokens(spark, path)
+
+
 STAGES = [
+    ("toxicity", drop_toxic),
     ("near_duplicates", drop_near_duplicates),
     ("decontamination", drop_benchmark),
     ("mixing", mix_sources),
+    ("token_output", token_output),
 ]
 
-ORACLE_SQL = None  # fingerprints, random rounding and tokenizers are beyond SQL
+ORACLE_SQL = None  # nearest examples, fingerprints, random rounding and tokenizers are beyond SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

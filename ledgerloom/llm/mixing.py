@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.text import crc, hash60, source_key, stored, text_of, word_count
+from ledgerloom.operators.skew import small_side, total_bytes
 from ledgerloom.session import checkpoint
 
 ONE = 1 << 30  # copy probabilities in units, so that masses add up exactly
@@ -110,7 +111,7 @@ def mix(
     whole = F.shiftright(due, 30)
     units = (
         rows.withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
-        .join(plan.select("_source", whole.alias("whole"), (due - whole * ONE).alias("p")), "_source")
+        .join(small_side(plan.select("_source", whole.alias("whole"), (due - whole * ONE).alias("p")), total_bytes(plan)), "_source")
         .withColumn("h", hash60(F.lit(seed), F.col("doc_id"), F.col("crc"), F.col("size"), F.col("n")))
         .select(
             "_source", F.floor(F.log2(F.col("size") + 1) * CLASSES).alias("_class"),
@@ -144,7 +145,7 @@ def mix(
     for level in done:
         decided = level.select("_source", F.explode(F.col("state")["done"]).alias("d"))
         parts = parts.unionByName(decided.select("_source", F.col("d")["row"].alias("row"), F.col("d")["copies"].alias("copies")))
-    return parts.join(plan.select("_source", "source_size", "target"), "_source").select(
+    return parts.join(small_side(plan.select("_source", "source_size", "target"), total_bytes(plan)), "_source").select(
         F.col("row")["doc_id"].alias("doc_id"), F.col("row")["size"].alias("size"), "source_size", "target", "copies",
         (F.col("copies") * F.col("row")["size"]).alias("taken"), F.col("row")["crc"].alias("text_crc32"),
         F.when(F.col("_source") == "1", F.lit(None)).otherwise(F.substring("_source", 2, 1 << 30)).alias("source"),

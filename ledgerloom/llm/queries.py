@@ -7,8 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, exact_dedup, mixing, sharding, simhash
+from ledgerloom.llm import (
+    decontaminate, exact_dedup, mixing, passages, pii, sharding, simhash, suffix_tree, token_files, toxicity,
+)
 from ledgerloom.llm.text import documents
+from ledgerloom.session import new_shared_path
+
+TOKENIZER = "byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +53,11 @@ def op3_mixing(spark, sf_dir):
     return rows.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@query()
+def op4_lm_scoring(spark, sf_dir):
+    return suffix_tree.fit_and_score(documents(spark, sf_dir))
+
+
 @query()
 def op5_sharding(spark, sf_dir):
     rows = sharding.shard(documents(spark, sf_dir))
@@ -80,3 +90,40 @@ def op6_decontamination(spark, sf_dir):
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query()
+def op7_pii(spark, sf_dir):
+    rows = pii.find(documents(spark, sf_dir))
+
+    def number(kind: str):
+        return F.size(F.filter("base", lambda x: x["kind"] == pii.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+
+    return rows.select(
+        "doc_id", *[number(k) for k in ("email", "ip", "card", "phone")],
+        F.sha2(pii.written("base").cast("binary"), 256).alias("base_sha256"), pii.written("spans").alias("spans"),
+    )
+
+
+@query()
+def op8_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+@query()
+def op9_substring_dedup(spark, sf_dir):
+    return passages.passages(documents(spark, sf_dir))
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op10_token_output(spark, sf_dir):
+    path = new_shared_path(spark, "tokens")
+    token_files.write_tokens(documents(spark, sf_dir), path, tokenizer_path())
+    return token_files.read_tokens(spark, path)

@@ -58,14 +58,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = 42) -> int
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp): the 64 bits as a signed long."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
         for batch in batches:
             marks = np.fromiter((fingerprint(t, shingle) for t in batch["text"]), np.uint64, len(batch))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fp": marks.view(np.int64)})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": marks.view(np.int64)})
 
-    return rows.mapInPandas(run, "doc_id long, fp long")
+    return rows.mapInPandas(run, "doc_id string, fp long").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _verified(rows: pd.DataFrame, distance: int) -> pd.DataFrame:
