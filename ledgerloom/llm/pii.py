@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.text import stored
+from ledgerloom.llm.text import stored, strings
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 ACCEPT = 0.8
@@ -165,7 +165,7 @@ def label(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     def run(batches):
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "found": [one(t) for t in batch["text"]]})
+            yield pd.DataFrame({"doc_id": strings(batch["doc_id"]), "found": [one(t) for t in strings(batch["text"])]})
 
     found = "array<struct<start:int,kind:int,end:int,strict:boolean,pattern:string>>"
     return rows.mapInPandas(run, f"doc_id string, found {found}")
@@ -267,7 +267,7 @@ def redact(docs: DataFrame, accept: float = ACCEPT, id_col: str = "doc_id", text
     @F.pandas_udf("string")
     def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
         out = []
-        for t, own in zip(text, spans):
+        for t, own in zip(strings(text), spans):
             at, parts = 0, []
             for s in own if own is not None else ():
                 if s["start"] >= at:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components
-from ledgerloom.llm.text import stored
+from ledgerloom.llm.text import stored, strings
 
 SHINGLE = 3
 DISTANCE = 3
@@ -62,8 +62,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
 
     def run(batches):
         for batch in batches:
-            marks = np.fromiter((fingerprint(t, shingle) for t in batch["text"]), np.uint64, len(batch))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": marks.view(np.int64)})
+            marks = np.fromiter((fingerprint(t, shingle) for t in strings(batch["text"])), np.uint64, len(batch))
+            yield pd.DataFrame({"doc_id": strings(batch["doc_id"]), "fp": marks.view(np.int64)})
 
     return rows.mapInPandas(run, "doc_id string, fp long").withColumn("doc_id", F.col("doc_id").cast("long"))
 

@@ -25,6 +25,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def strings(column) -> list[str | None]:
+    """The values of a pandas column of text, missing ones as None."""
+    return [x if isinstance(x, str) else None for x in column]
+
+
 def text_of(name: str) -> Column:
     """The text; NULL counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

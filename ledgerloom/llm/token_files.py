@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.text import stored
+from ledgerloom.llm.text import strings
 
 CONTAINER_IDS = 1 << 21
 PART_BYTES = 16 << 20
@@ -188,8 +188,8 @@ def write_tokens(
 
         for batch in batches:
             for at in range(0, len(batch), 256):
-                texts = [t or "" for t in batch["text"].iloc[at:at + 256]]
-                for name, blob in zip(batch["doc_id"].iloc[at:at + 256], encoder.encode(texts)):
+                texts = [t or "" for t in strings(batch["text"].iloc[at:at + 256])]
+                for name, blob in zip(strings(batch["doc_id"].iloc[at:at + 256]), encoder.encode(texts)):
                     names.append(name)
                     blobs.append(blob)
                     held += len(blob) // encoder.dtype.itemsize

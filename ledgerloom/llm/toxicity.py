@@ -1,6 +1,6 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words and the first four and five letters of longer words. The vocabulary is what separates the labels of
+Terms are words and the first four to eight letters of longer words, so that inflected forms meet. The vocabulary is what separates the labels of
 the examples by a likelihood-ratio test; how many documents hold a term is counted over the whole corpus. Examples
 lie in blocks; the index keeps the largest weight of every term in every block, which bounds the cosine of the whole
 block, so blocks that cannot hold one of the nearest are skipped without changing the result. The nearest vote by
@@ -29,28 +29,27 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.text import stored
+from ledgerloom.llm.text import stored, strings
 
 EXAMPLES = 3000
 VOCABULARY = 4096
 LEAST_RATIO = 20.0  # of the likelihood-ratio test
 NEIGHBOURS = 15
 BLOCK = 32
+BEGIN = (4, 8)
 THRESHOLD = 0.7
 FOLDS, HELD = 3, 1
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
 def terms(text: str | None) -> Counter:
-    """Words, lower-cased A-Z, and their beginnings of four and five letters (marked by a star)."""
+    """Words, lower-cased A-Z, and the beginnings of longer words (marked by a star)."""
     folded = (text or "").encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
     words = Counter(WORDS.findall(folded))
     out = Counter(words)
     for w, n in words.items():
-        if len(w) > 4:
-            out[w[:4] + "*"] += n
-            if len(w) > 5:
-                out[w[:5] + "*"] += n
+        for k in range(BEGIN[0], min(BEGIN[1], len(w) - 1) + 1):
+            out[w[:k] + "*"] += n
     return out
 
 
@@ -71,6 +70,17 @@ def likelihood_ratio(a, b, n1, n0):
     )
 
 
+def sharpest(ratios: dict[str, float]) -> list[str]:
+    """The terms without those beginnings that a longer one of the vocabulary separates as well or better."""
+    better = {}
+    for t, ratio in ratios.items():
+        if t.endswith("*"):
+            for k in range(BEGIN[0], len(t) - 1):
+                short = t[:k] + "*"
+                better[short] = max(better.get(short, 0.0), ratio)
+    return sorted(t for t, ratio in ratios.items() if ratio > better.get(t, 0.0))
+
+
 @dataclass
 class Index:
     """Block-max inverted index of unit vectors: postings by term, ordered by example, and block maxima."""
@@ -89,12 +99,20 @@ class Index:
     curve: tuple[float, float] = (1.0, 0.0)
 
     def vector(self, counted: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers and unit weights (1 + log tf) * idf."""
-        found = [(self.vocabulary[t], n) for t, n in counted.items() if t in self.vocabulary]
+        """Term numbers and unit weights (1 + log tf) * idf; the last number stands for all other words.
+
+        That last term keeps a text with one telling word among many apart from a text full of them.
+        """
+        found, others = [], 0
+        for t, n in counted.items():
+            if t in self.vocabulary:
+                found.append((self.vocabulary[t], n))
+            elif not t.endswith("*"):
+                others += n
         if not found:
             return np.zeros(0, np.int64), np.zeros(0)
-        at = np.array([t for t, _ in found])
-        w = (1 + np.log([n for _, n in found])) * self.idf[at]
+        at = np.array([*[t for t, _ in found], len(self.vocabulary)])
+        w = (1 + np.log([*[n for _, n in found], max(others, 1)])) * self.idf[at]
         return at, w / np.linalg.norm(w)
 
     def fill(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
@@ -103,9 +121,9 @@ class Index:
         w = np.concatenate([np.zeros(0), *[v for _, v in vectors]])
         order = np.lexsort((rows, at))
         at, self.rows, self.values = at[order], rows[order], w[order]
-        self.begins = np.searchsorted(at, np.arange(len(self.vocabulary) + 1))
+        self.begins = np.searchsorted(at, np.arange(len(self.vocabulary) + 2))
         blocks = max(1, -(-len(vectors) // BLOCK))
-        self.block_max = np.zeros((len(self.vocabulary), blocks))
+        self.block_max = np.zeros((len(self.vocabulary) + 1, blocks))
         np.maximum.at(self.block_max, (at, self.rows // BLOCK), self.values)
 
     def _cosines(self, at: np.ndarray, w: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -196,10 +214,11 @@ def fit(
     def held_by(batches):
         counts = {0: Counter(), 1: Counter()}
         for batch in batches:
-            for text, y in zip(batch["text"], batch["label"]):
+            for text, y in zip(strings(batch["text"]), batch["label"]):
                 counts[y].update(terms(text).keys())
         for y in (0, 1):
-            yield pd.DataFrame({"term": list(counts[y].keys()), "toxic": y, "n": list(counts[y].values())})
+            if counts[y]:
+                yield pd.DataFrame({"term": list(counts[y].keys()), "toxic": y, "n": list(counts[y].values())})
 
     per = picked.mapInPandas(held_by, "term string, toxic int, n long").groupBy("term").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
@@ -215,27 +234,28 @@ def fit(
         part(a, have * n1 / n) + part(b, have * n0 / n) + part(n1 - a, (n - have) * n1 / n) + part(n0 - b, (n - have) * n0 / n)
     )
     best = per.withColumn("ratio", ratio).where(F.col("ratio") >= LEAST_RATIO).orderBy(F.desc("ratio"), "term").limit(vocabulary)
-    numbers = {r["term"]: i for i, r in enumerate(sorted(best.collect(), key=lambda r: r["term"]))}
+    numbers = {t: i for i, t in enumerate(sharpest({r["term"]: r["ratio"] for r in best.collect()}))}
     shared = docs.sparkSession.sparkContext.broadcast(numbers)
 
     def frequency(batches):
         counts, texts = np.zeros(len(shared.value), np.int64), 0
         for batch in batches:
-            for text in batch["text"]:
+            for text in strings(batch["text"]):
                 texts += 1
                 for t in terms(text).keys() & shared.value.keys():
                     counts[shared.value[t]] += 1
         yield pd.DataFrame({"at": [-1, *np.flatnonzero(counts)], "n": [texts, *counts[counts > 0]]})
 
     seen = {r["at"]: r["n"] for r in rows.mapInPandas(frequency, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()}
-    idf = np.log((1 + seen.get(-1, 0)) / (1 + np.array([seen.get(i, 0) for i in range(len(numbers))], float))) + 1e-3
+    held = np.array([*[seen.get(i, 0) for i in range(len(numbers))], seen.get(-1, 0)], float)
+    idf = np.log((1 + seen.get(-1, 0)) / (1 + held)) + 1
     model = Index(numbers, idf, [], np.zeros(0), np.zeros(0), share=total[1] / (total[0] + total[1]))
 
     def vectors(batches):
         for batch in batches:
-            made = [model.vector(terms(t)) for t in batch["text"]]
+            made = [model.vector(terms(t)) for t in strings(batch["text"])]
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "label": batch["label"], "at": [list(map(int, x)) for x, _ in made],
+                "doc_id": strings(batch["doc_id"]), "label": batch["label"], "at": [list(map(int, x)) for x, _ in made],
                 "w": [list(map(float, y)) for _, y in made],
             })
 
@@ -271,9 +291,9 @@ def score(docs: DataFrame, model: Index, threshold: float = THRESHOLD, id_col: s
     def run(batches):
         own = Index(**shared.value)
         for batch in batches:
-            made = [own.score(terms(t)) for t in batch["text"]]
+            made = [own.score(terms(t)) for t in strings(batch["text"])]
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "held_out": [held_out(x) for x in batch["doc_id"]],
+                "doc_id": strings(batch["doc_id"]), "held_out": [held_out(x) for x in strings(batch["doc_id"])],
                 "score": [float(p) for p, _, _ in made], "predicted": [int(p >= threshold) for p, _, _ in made],
                 "neighbours": [[own.ids[i] for i in near] for _, near, _ in made],
                 "cosines": [list(map(float, c)) for _, _, c in made],
@@ -295,6 +315,6 @@ def drop_toxic(
     @F.pandas_udf("boolean")
     def toxic(texts: pd.Series) -> pd.Series:
         own = Index(**shared.value)
-        return pd.Series([own.score(terms(t))[0] >= threshold for t in texts], dtype=bool)
+        return pd.Series([own.score(terms(t))[0] >= threshold for t in strings(texts)], dtype=bool)
 
     return docs.where(~toxic(F.col(text_col).cast("string")))
