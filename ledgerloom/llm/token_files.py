@@ -17,6 +17,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
@@ -99,11 +100,30 @@ class EliasFano:
         return ((ones - np.arange(self.n)) << self.low_bits) | low
 
 
+def byte_letters() -> dict[int, str]:
+    """The letters that a byte-level vocabulary writes bytes with: visible ones as themselves, others from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [x for x in range(256) if x not in shown]
+    return {**{x: chr(x) for x in shown}, **{x: chr(256 + i) for i, x in enumerate(hidden)}}
+
+
+class Pieces(dict):
+    """Ids of pieces as bytes; a missing piece is made and kept."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = self.make(piece)
+        return ids
+
+
 class PieceEncoder:
     """Ids of texts as bytes, by the tokenizer and a bounded memory of pieces.
 
     A byte-level vocabulary cuts a text before a space that a visible character follows, whatever stands before it.
-    So the pieces between such spaces are encoded once each, and a text is the sequence of its pieces.
+    So the pieces between such spaces are encoded once each, and a text is the sequence of its pieces. Words of
+    letters go to the tokenizer's model at once; all else goes through the whole tokenizer.
     """
 
     CUT = re.compile(r" (?=\S)")
@@ -114,48 +134,47 @@ class PieceEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if max(self.model.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
-        self.end, self.limit = np.array([end_id], self.dtype).tobytes(), limit
-        self.known: dict[str, bytes] = {}  # pieces after a space, without it
-        self.bare: dict[str, bytes] = {}  # pieces that no space precedes
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.letters, self.limit = self.tokenizer.model, byte_letters(), limit
+        self.code = "H" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "I"
+        self.id_bytes, self.end = array(self.code).itemsize, array(self.code, [end_id]).tobytes()
+        self.known = Pieces(lambda x: self._make(x, True))  # pieces after a space, without it
+        self.bare = Pieces(lambda x: self._make(x, False))  # pieces that no space precedes
 
-    def _parts(self, piece: str, spaced: bool) -> list[tuple[bool, str]]:
-        """A piece cut further where a cut is certain: around a lone line break, before a last mark after letters."""
+    @classmethod
+    def of_process(cls, path: str, end_id: int) -> PieceEncoder:
+        """One for each worker process, so that a task finds what the tasks before it have learned."""
+        import tokenizers
+
+        kept = vars(tokenizers).setdefault("_piece_encoders", {})
+        if (path, end_id) not in kept:
+            kept[path, end_id] = cls(path, end_id)
+        return kept[path, end_id]
+
+    def _make(self, piece: str, spaced: bool) -> bytes:
+        """A piece is cut further where a cut is certain: around a lone line break, before a last mark after letters."""
         head, line, tail = piece.partition("\n")
         if line and head and tail and not head[-1].isspace() and not tail[0].isspace():
-            return [*self._parts(head, spaced), (False, "\n"), *self._parts(tail, False)]
-        if piece[-1:] in self.ENDS and piece[:-1].isalpha() and max(piece) < "ɐ":
-            return [(spaced, piece[:-1]), (False, piece[-1])]
-        return [(spaced, piece)]
-
-    def _learn(self, parts: Iterable[tuple[bool, str]]) -> None:
-        new = list({p for p in parts if p[1] not in (self.known if p[0] else self.bare)})
-        found = self.model.encode_batch_fast([" " + x if spaced else x for spaced, x in new], add_special_tokens=False)
-        for (spaced, x), e in zip(new, found):
-            (self.known if spaced else self.bare)[x] = np.array(e.ids, self.dtype).tobytes()
+            return (self.known if spaced else self.bare)[head] + self.bare["\n"] + self.bare[tail]
+        plain = max(piece, default="") < "ɐ"
+        if piece[-1:] in self.ENDS and piece[:-1].isalpha() and plain:
+            return (self.known if spaced else self.bare)[piece[:-1]] + self.bare[piece[-1]]
+        whole = " " + piece if spaced else piece
+        if plain and piece.isalpha():
+            ids = [t.id for t in self.model.tokenize(whole.encode().decode("latin-1").translate(self.letters))]
+        else:
+            ids = self.tokenizer.encode(whole, add_special_tokens=False).ids
+        return array(self.code, ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        out = []
         for memory in (self.known, self.bare):
             if len(memory) > self.limit:
                 memory.clear()
-        cut = [self.CUT.split(t) if self.ODD.search(t) else t.split(" ") for t in texts]
-        wanted: set[str] = set()
-        for pieces in cut:
-            wanted.update(pieces[1:])
-        made = {w: self._parts(w, True) for w in wanted if w not in self.known}
-        first = {p[0]: self._parts(p[0], False) for p in cut}
-        self._learn(x for parts in (*made.values(), *first.values()) for x in parts)
-        known, bare = self.known, self.bare
-        joined = {
-            w: b"".join([known[x] if spaced else bare[x] for spaced, x in parts]) for w, parts in made.items() if w not in known
-        }
-        out = []
-        for pieces in cut:
-            ids = [known[x] if spaced else bare[x] for spaced, x in first[pieces[0]]]
-            ids += [known[w] if w in known else joined[w] for w in pieces[1:]]
-            ids.append(self.end)
-            out.append(b"".join(ids))
+        for text in texts:
+            pieces = self.CUT.split(text) if self.ODD.search(text) else text.split(" ")
+            first = self.bare[pieces.pop(0)]
+            out.append(b"".join([first, *map(self.known.__getitem__, pieces), self.end]))
         return out
 
 
@@ -172,16 +191,16 @@ def write_tokens(
     rows = rows.sortWithinPartitions("doc_id", "text").select(F.col("doc_id").cast("string"), "text")
 
     def run(batches):
-        encoder, part, seq = PieceEncoder(tokenizer, end_id), TaskContext.get().partitionId(), 0
+        encoder, part, seq = PieceEncoder.of_process(tokenizer, end_id), TaskContext.get().partitionId(), 0
         names, blobs, held = [], [], 0
 
         def container():
-            ends = np.cumsum([len(b) // encoder.dtype.itemsize for b in blobs])
+            ends = np.cumsum([len(b) // encoder.id_bytes for b in blobs])
             some = np.array([int(x) for x in names if x is not None], np.int64)
             base = int(some[0]) if len(some) else 0
             return pd.DataFrame({
                 "part": [part], "seq": [seq], "n_docs": [len(blobs)], "n_ids": [int(ends[-1])],
-                "id_bytes": [encoder.dtype.itemsize], "n_null": [len(names) - len(some)], "first_id": [base],
+                "id_bytes": [encoder.id_bytes], "n_null": [len(names) - len(some)], "first_id": [base],
                 "doc_ids": [EliasFano.encode((some - base).astype(np.uint64))], "bounds": [EliasFano.encode(ends)],
                 "ids": [b"".join(blobs)],
             })
@@ -192,7 +211,7 @@ def write_tokens(
                 for name, blob in zip(strings(batch["doc_id"].iloc[at:at + 256]), encoder.encode(texts)):
                     names.append(name)
                     blobs.append(blob)
-                    held += len(blob) // encoder.dtype.itemsize
+                    held += len(blob) // encoder.id_bytes
                     if held >= CONTAINER_IDS:
                         yield container()
                         names, blobs, held, seq = [], [], 0, seq + 1
