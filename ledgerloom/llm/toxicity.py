@@ -42,10 +42,13 @@ FOLDS, HELD = 3, 1
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
+def words_of(text: str | None) -> list[str]:
+    return WORDS.findall((text or "").encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
+
+
 def terms(text: str | None) -> Counter:
     """Words, lower-cased A-Z, and the beginnings of longer words (marked by a star)."""
-    folded = (text or "").encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
-    words = Counter(WORDS.findall(folded))
+    words = Counter(words_of(text))
     out = Counter(words)
     for w, n in words.items():
         for k in range(BEGIN[0], min(BEGIN[1], len(w) - 1) + 1):
@@ -98,23 +101,43 @@ class Index:
     alone: float = 0.0  # of toxic labels among texts without a term
     curve: tuple[float, float] = (1.0, 0.0)
 
-    def vector(self, counted: Counter) -> tuple[np.ndarray, np.ndarray]:
+    def __post_init__(self):
+        """Beginnings by themselves, and their first letters: most words are dismissed by one look."""
+        self.stems = {t[:-1]: i for t, i in self.vocabulary.items() if t.endswith("*")}
+        self.firsts = {t[: BEGIN[0]] for t in self.stems}
+
+    def found(self, text: str | None) -> tuple[dict[int, int], int]:
+        """(how often each term of the vocabulary occurs, number of other words); as ``terms`` counts them."""
+        out, others = {}, 0
+        for w, n in Counter(words_of(text)).items():
+            at = self.vocabulary.get(w)
+            if at is None:
+                others += n
+            else:
+                out[at] = out.get(at, 0) + n
+            if w[: BEGIN[0]] in self.firsts:
+                for k in range(BEGIN[0], min(BEGIN[1], len(w) - 1) + 1):
+                    at = self.stems.get(w[:k])
+                    if at is not None:
+                        out[at] = out.get(at, 0) + n
+        return out, others
+
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers and unit weights (1 + log tf) * idf; the last number stands for all other words.
 
         That last term keeps a text with one telling word among many apart from a text full of them.
         """
-        found, others = [], 0
-        for t, n in counted.items():
-            if t in self.vocabulary:
-                found.append((self.vocabulary[t], n))
-            elif not t.endswith("*"):
-                others += n
+        found, others = self.found(text)
         if not found:
             return np.zeros(0, np.int64), np.zeros(0)
-        at = np.array([*[t for t, _ in found], len(self.vocabulary)])
-        w = (1 + np.log([*[n for _, n in found], max(others, 1)])) * self.idf[at]
+        at = np.array([*found, len(self.vocabulary)])
+        w = (1 + np.log([*found.values(), max(others, 1)])) * self.idf[at]
         return at, w / np.linalg.norm(w)
 
+    def share_out(self) -> dict:
+        """What a worker needs to make this index again."""
+        return {k: v for k, v in vars(self).items() if k not in ("stems", "firsts")}
+
     def fill(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
         rows = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
         at = np.concatenate([np.zeros(0, np.int64), *[t for t, _ in vectors]])
@@ -158,8 +181,8 @@ class Index:
         w = cosine * self.weight[order]
         return float((w @ self.labels[order] + 0.05 * self.share) / (w.sum() + 0.05))
 
-    def score(self, counted: Counter) -> tuple[float, np.ndarray, np.ndarray]:
-        at, w = self.vector(counted)
+    def score(self, text: str | None) -> tuple[float, np.ndarray, np.ndarray]:
+        at, w = self.vector(text)
         order, cosine = self.nearest(at, w, NEIGHBOURS) if len(at) and len(self.ids) else (np.zeros(0, int), np.zeros(0))
         if not len(order):
             return self.alone, order, cosine
@@ -235,15 +258,15 @@ def fit(
     )
     best = per.withColumn("ratio", ratio).where(F.col("ratio") >= LEAST_RATIO).orderBy(F.desc("ratio"), "term").limit(vocabulary)
     numbers = {t: i for i, t in enumerate(sharpest({r["term"]: r["ratio"] for r in best.collect()}))}
-    shared = docs.sparkSession.sparkContext.broadcast(numbers)
+    shared = docs.sparkSession.sparkContext.broadcast(numbers)  # VOCABULARY at most
 
     def frequency(batches):
         counts, texts = np.zeros(len(shared.value), np.int64), 0
+        own = Index(shared.value, np.zeros(0), [], np.zeros(0), np.zeros(0))
         for batch in batches:
             for text in strings(batch["text"]):
                 texts += 1
-                for t in terms(text).keys() & shared.value.keys():
-                    counts[shared.value[t]] += 1
+                counts[list(own.found(text)[0])] += 1
         yield pd.DataFrame({"at": [-1, *np.flatnonzero(counts)], "n": [texts, *counts[counts > 0]]})
 
     seen = {r["at"]: r["n"] for r in rows.mapInPandas(frequency, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()}
@@ -251,9 +274,12 @@ def fit(
     idf = np.log((1 + seen.get(-1, 0)) / (1 + held)) + 1
     model = Index(numbers, idf, [], np.zeros(0), np.zeros(0), share=total[1] / (total[0] + total[1]))
 
+    parts = model.share_out()
+
     def vectors(batches):
+        own = Index(**parts)
         for batch in batches:
-            made = [model.vector(terms(t)) for t in strings(batch["text"])]
+            made = [own.vector(t) for t in strings(batch["text"])]
             yield pd.DataFrame({
                 "doc_id": strings(batch["doc_id"]), "label": batch["label"], "at": [list(map(int, x)) for x, _ in made],
                 "w": [list(map(float, y)) for _, y in made],
@@ -286,12 +312,12 @@ def fit(
 
 def score(docs: DataFrame, model: Index, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row: doc_id, held_out, score, predicted, neighbours (example ids), cosines."""
-    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    shared = docs.sparkSession.sparkContext.broadcast(model.share_out())
 
     def run(batches):
         own = Index(**shared.value)
         for batch in batches:
-            made = [own.score(terms(t)) for t in strings(batch["text"])]
+            made = [own.score(t) for t in strings(batch["text"])]
             yield pd.DataFrame({
                 "doc_id": strings(batch["doc_id"]), "held_out": [held_out(x) for x in strings(batch["doc_id"])],
                 "score": [float(p) for p, _, _ in made], "predicted": [int(p >= threshold) for p, _, _ in made],
@@ -310,11 +336,11 @@ def drop_toxic(
 ) -> DataFrame:
     """The documents below the threshold, with all their columns."""
     model = fit(docs, labels, id_col=id_col, text_col=text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    shared = docs.sparkSession.sparkContext.broadcast(model.share_out())
 
     @F.pandas_udf("boolean")
     def toxic(texts: pd.Series) -> pd.Series:
         own = Index(**shared.value)
-        return pd.Series([own.score(terms(t))[0] >= threshold for t in strings(texts)], dtype=bool)
+        return pd.Series([own.score(t)[0] >= threshold for t in strings(texts)], dtype=bool)
 
     return docs.where(~toxic(F.col(text_col).cast("string")))
