@@ -63,11 +63,13 @@ def customer_metrics(raw: DataFrame, params: RunParams, task_rows: int = TASK_RO
     """Metrics per customer and segment over the extracted rows.
 
     ``raw`` should be the stored rows, as they are read three times. Rows count as often as the campaign
-    join repeated them. With ``dedupe_fanout`` each transaction
+    join repeated them. With ``dedupe_fanout`` each transaction that has an id
     counts once, while campaigns and channels are still counted over all rows.
     """
     valid = clean_transactions(raw, params).where(F.col("amount").isNotNull())
-    rows = valid.dropDuplicates(["transaction_id", *GROUP]) if params.dedupe_fanout else valid
+    rows = valid
+    if params.dedupe_fanout:  # a row without an id cannot be told from a copy and does not count
+        rows = valid.where(F.col("transaction_id").isNotNull()).dropDuplicates(["transaction_id", *GROUP])
     grouped = aggregate_with_quantiles(
         rows, GROUP, "amount", QUARTERS, [*_spread(), F.count("*").alias("transaction_count")], task_rows=task_rows
     )
@@ -104,6 +106,8 @@ def customer_metrics_from_sources(
     )
     customers = segments.join(seen, "customer_id", "full_outer")
     window = lookback_filter(transactions, params.run_date, params.lookback_days, until=params.until)
+    if params.dedupe_fanout:
+        window = window.where(F.col("transaction_id").isNotNull())
     rows = window.select(
         "customer_id",
         amount_sanitise("amount", params.amount_max).alias("amount"),

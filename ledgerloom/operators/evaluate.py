@@ -31,8 +31,11 @@ def confusion_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """One row: the share of equal pairs."""
-    return df.agg(F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy"))
+    """One row: the share of equal pairs. A missing prediction is wrong; a missing label raises."""
+    unlabelled = F.count_if(F.col(label).isNull())
+    right = F.avg(F.coalesce(F.col(label) == F.col(prediction), F.lit(False)).cast("double"))
+    refused = F.raise_error(F.concat(unlabelled.cast("string"), F.lit(f" row(s) without {label}"))).cast("double")
+    return df.agg(F.when(unlabelled > 0, refused).otherwise(right).alias("accuracy"))
 
 
 def class_count(df: DataFrame, label: str) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ledgerloom.functions.schema import numeric_columns, string_columns, unpivot
 from ledgerloom.operators.ranks import column_quantiles
@@ -36,13 +39,15 @@ def column_mode(df: DataFrame, columns: list[str]) -> dict[str, str | None]:
 
 def fit_impute(
     df: DataFrame, keep: tuple[str, ...] | list[str] = (), task_rows: int | None = None
-) -> dict[str, float | str]:
+) -> dict[str, float | int | str]:
     """Fill value per column: median of numbers, mode of strings. Columns in ``keep`` get none.
 
-    A column that holds no value at all has neither, and raises.
+    A column that holds no value at all has neither, and raises. The fill of a whole-number column is whole,
+    so that the column keeps its type, unless it has gaps and a fractional median.
     """
+    numbers = numeric_columns(df, keep)
     fills = {
-        **column_median(df, numeric_columns(df, keep), task_rows),
+        **_whole_fills(df, column_median(df, numbers, task_rows)),
         **column_mode(df, string_columns(df, keep)),
     }
     empty = [c for c, value in fills.items() if value is None]
@@ -51,13 +56,26 @@ def fit_impute(
     return fills
 
 
-def apply_impute(df: DataFrame, fills: dict[str, float | str]) -> DataFrame:
-    """Fill missing values. Filled numbers become double, as a median may be fractional."""
-    return df.select(
-        *[
-            F.coalesce(F.col(c).cast("double") if isinstance(fills[c], float) else F.col(c), F.lit(fills[c])).alias(c)
-            if c in fills
-            else F.col(c)
-            for c in df.columns
-        ]
-    )
+def _whole_fills(df: DataFrame, medians: dict[str, float | None]) -> dict[str, float | int | None]:
+    """Medians of whole-number columns as whole numbers where the type may stay."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    whole = [c for c, m in medians.items() if m is not None and isinstance(kinds[c], IntegralType)]
+    if not whole:
+        return medians
+    fractional = [c for c in whole if medians[c] != math.floor(medians[c])]
+    gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in fractional]).first() if fractional else {}
+    return {
+        c: math.floor(m) if c in whole and not (c in fractional and gaps[c]) else m for c, m in medians.items()
+    }
+
+
+def apply_impute(df: DataFrame, fills: dict[str, float | int | str]) -> DataFrame:
+    """Fill missing values. A whole fill keeps the column's type; a fractional one makes it double."""
+    kinds = {f.name: f.dataType for f in df.schema}
+
+    def filled(c: str):
+        if isinstance(fills[c], float):
+            return F.coalesce(F.col(c).cast("double"), F.lit(fills[c])).alias(c)
+        return F.coalesce(F.col(c), F.lit(fills[c]).cast(kinds[c])).alias(c)
+
+    return df.select(*[filled(c) if c in fills else F.col(c) for c in df.columns])

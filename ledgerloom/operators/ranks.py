@@ -179,15 +179,23 @@ def aggregate_with_quantiles(
     builtin = F.percentile(value, probabilities, F.lit(1) if copies is None else copies).alias("quantiles")
     if task_rows is None:
         return df.groupBy(*keys).agg(*aggregates, builtin)
-    hot = checkpoint(group_spans(df, keys, value, copies).where(F.col("_n") > task_rows))
+    # The search runs under names of its own: a key may be called like one of its columns.
+    inner = [f"_key{i}" for i in range(len(keys))]
+    under = df.select(
+        *[F.col(k).alias(i) for k, i in zip(keys, inner)], F.col(value).alias("_value"),
+        (F.lit(1) if copies is None else copies).alias("_weight"),
+    )
+    spans = group_spans(under, inner, "_value", None if copies is None else F.col("_weight"))
+    hot = checkpoint(spans.where(F.col("_n") > task_rows))
     if hot.isEmpty():
         return df.groupBy(*keys).agg(*aggregates, builtin)
 
-    listed = small_side(_renamed(hot, keys, "_h_", []), total_bytes(hot))
+    listed = small_side(hot.select(*[F.col(i).alias("_h_" + k) for k, i in zip(keys, inner)]), total_bytes(hot))
     on_hot = _same_keys(keys, "_h_")
     light = df.join(listed, on_hot, "left_anti").groupBy(*keys).agg(*aggregates, builtin)
     heavy = df.join(listed, on_hot, "left_semi")
-    quantiles = _interpolated(df, keys, value, probabilities, hot, task_rows)
+    quantiles = _interpolated(under.drop("_weight"), inner, "_value", probabilities, hot, task_rows)
+    quantiles = quantiles.select(*[F.col(i).alias(k) for k, i in zip(keys, inner)], "quantiles")
     if aggregates:
         others = _renamed(quantiles, keys, "_h_", ["quantiles"])
         quantiles = heavy.groupBy(*keys).agg(*aggregates).join(others, on_hot).drop(*["_h_" + k for k in keys])

@@ -52,15 +52,16 @@ def stratified_split(
     """
     keys = [key] if isinstance(key, str) else list(key)
     name = F.struct(*keys)
-    ordered = df.withColumn("_order", split_order(keys, seed))
-    counts = checkpoint(df.groupBy(label).agg(F.count("*").alias("n")))
+    ordered = df.withColumn("_order", split_order(keys, seed)).withColumn("_label", F.col(label))
+    named, label = label, "_label"  # a label may be called like a column of the search
+    counts = checkpoint(ordered.groupBy(label).agg(F.count("*").alias("n")))
     n, n_classes, smallest, n_null = counts.agg(
         F.sum("n"), F.count("*"), F.min("n"), F.count_if(F.col(label).isNull())
     ).first()
     if not n:
         raise ValueError("cannot split an empty table")
     if n_null:
-        raise ValueError(f"{label} has missing values")
+        raise ValueError(f"{named} has missing values")
     if smallest < 2:
         raise ValueError("the least populated class has only 1 member, too few for a stratified split")
     n_test = math.ceil(n * test_size)

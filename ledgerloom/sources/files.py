@@ -52,18 +52,19 @@ def records_to_frame(
 ) -> DataFrame:
     """JSON-lines records under an explicit schema: a missing key is NULL, an unknown key is dropped.
 
-    With ``unknown_keys="fail"`` a record that carries a key outside the schema raises at run time.
+    With ``unknown_keys="fail"`` a record that carries a key outside the schema raises at run time. A record that
+    is no JSON, or holds a value of another type, raises either way.
     """
     if unknown_keys not in ("drop", "fail"):
         raise ValueError(f"unknown_keys must be 'drop' or 'fail', not {unknown_keys!r}")
-    frame = spark.read.schema(schema).json(path)
+    frame = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     if unknown_keys == "drop":
         return nan_to_null(frame)
     known = F.array(*[F.lit(name) for name in frame.columns])
     text = spark.read.text(path).where(F.trim("value") != "")
     strange = F.array_except(F.json_object_keys("value"), known)
     checked = text.select(
-        F.from_json("value", frame.schema).alias("record"),
+        F.from_json("value", frame.schema, {"mode": "FAILFAST"}).alias("record"),
         F.when(
             F.size(strange) > 0, F.raise_error(F.concat(F.lit("unknown keys: "), F.array_join(strange, ", ")))
         ).alias("refused"),

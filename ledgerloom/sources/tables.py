@@ -13,17 +13,12 @@ RUN_LOG_SCHEMA = "run_id string, run_date date, kind string, name string, value
 def write_run_table(df: DataFrame, path: str, run_date: date) -> DataFrame:
     """Replace the partition of ``run_date`` and return it as read back from storage.
 
-    Other days stay untouched and a rerun gives the same rows. The write is also the restart point of
-    the steps behind it.
+    Exactly the folder of that day is replaced, also by a result without rows. Other days stay untouched and a
+    rerun gives the same rows. The write is also the restart point of the steps behind it.
     """
-    (
-        df.withColumn("run_date", F.lit(run_date))
-        .write.partitionBy("run_date")
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(path)
-    )
-    return read_run_table(df.sparkSession, path, run_date)
+    folder = f"{path.rstrip('/')}/run_date={run_date.isoformat()}"
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def read_run_table(spark: SparkSession, path: str, run_date: date | None = None) -> DataFrame:

@@ -11,12 +11,17 @@ def pairs(spark, truth, guess):
 
 @pytest.mark.parametrize(
     "truth, guess, expected",
-    [([0, 1] * 3, [0, 1] * 3, 1.0), ([0] * 5, [1] * 5, 0.0), ([0, 1] * 4, [0, 1, 0, 1, 1, 0, 1, 0], 0.5)],
+    [([3, 7, 7], [3, 7, 7], 1.0), ([2, 9], [9, 2], 0.0), ([5, 5, 6, 8, 8], [5, 8, 6, None, 8], 0.6)],
 )
 def test_accuracy(spark, truth, guess, expected):
     assert evaluate.accuracy(pairs(spark, truth, guess), "t", "p").first()[0] == expected
 
 
+def test_missing_truth_raises(spark):
+    with pytest.raises(Exception, match="2 row.s. without t"):
+        evaluate.accuracy(pairs(spark, [4, None, None], [4, 4, 4]), "t", "p").first()
+
+
 def test_unequal_lengths_raise(spark):
     truth = spark.createDataFrame([(i, i % 2) for i in range(4)], "k int, t int")
     guess = spark.createDataFrame([(i, i % 2) for i in range(2)], "k int, p int")

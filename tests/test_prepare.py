@@ -23,11 +23,20 @@ def column(df, name, order="transaction_id"):
 
 
 def test_critical_nulls(spark):
-    rows = [(1.0, 1.0, 100, 0), (2.0, 2.0, 200, 1), (3.0, None, 300, 0), (None, 4.0, 400, 1), (5.0, 5.0, 500, 0)]
-    df = spark.createDataFrame(rows, "transaction_id double, customer_id double, amount long, target long")
+    rows = [(i or None, None if i % 3 == 1 else 70 + i, None) for i in range(11)]
+    df = spark.createDataFrame(rows, "transaction_id long, customer_id long, amount double")
     kept = impute.drop_critical_nulls(df, ["transaction_id", "customer_id"])
-    assert kept.count() == 3 and kept.where("transaction_id IS NULL OR customer_id IS NULL").isEmpty()
-    assert impute.drop_critical_nulls(df, []).count() == 5
+    assert column(kept, "transaction_id") == [2, 3, 5, 6, 8, 9]
+    assert impute.drop_critical_nulls(df, []).count() == 11
+
+
+def test_large_ids_stay_apart(spark):
+    ids = [9007199254740992, 9007199254740993, 9007199254740994, 9007199254740995]
+    df = spark.createDataFrame([(i, n, 2 * n) for n, i in enumerate(ids)] + [(ids[0], None, 0)], "customer_id long, gap int, even int")
+    fills = impute.fit_impute(df)
+    filled = impute.apply_impute(df, fills)
+    assert filled.select("customer_id").distinct().count() == 4
+    assert dict(filled.dtypes) == {"customer_id": "bigint", "gap": "double", "even": "int"} and fills["gap"] == 1.5
 
 
 def test_columns_by_type(spark):
@@ -245,3 +254,10 @@ def test_prepare_data_from_files(spark, transactions, tmp_path):
     ]
     a, b = (r.orderBy("transaction_id").toPandas() for r in results)
     np.testing.assert_allclose(a.to_numpy(float), b.to_numpy(float), rtol=1e-9, atol=1e-9)
+
+
+@pytest.mark.parametrize("name", ["rank", "ties", "below", "n", "quota"])
+def test_labels_may_have_any_name(spark, name):
+    df = spark.createDataFrame([(i, i % 2) for i in range(40)], f"id long, {name} int")
+    placed = stratified_split(df, "id", name, task_rows=3)
+    assert placed.columns == ["id", name, "is_test"] and placed.where("is_test").groupBy(name).count().collect() == [(0, 4), (1, 4)]

@@ -96,3 +96,11 @@ def test_running_totals(spark):
     found = {(r["g"], r["o"]): r["a_before"] for r in running_totals(df, "g", "o", ["a"]).collect()}
     for g, o, _ in rows:
         assert found[g, o] == sum(a for h, p, a in rows if h == g and p < o)
+
+
+@pytest.mark.parametrize("name", ["rank", "value", "ties", "below", "_lo", "_n", "quantile"])
+def test_keys_may_have_any_name(spark, name):
+    df = spark.createDataFrame([("k", float(i)) for i in range(20)], f"{name} string, v double")
+    for task_rows in (5, 100):
+        rows = aggregate_with_quantiles(df, [name], "v", [0.5], task_rows=task_rows).collect()
+        assert [tuple(r) for r in rows] == [("k", [9.5])]

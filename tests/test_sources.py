@@ -131,3 +131,22 @@ def test_shared_folder_is_the_configured_one(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_shared_path(spark, "x").startswith(shared_root(spark))
     assert new_shared_path(spark, "x") != new_shared_path(spark, "x")
+
+
+def test_an_empty_rerun_replaces_its_day(spark, tmp_path):
+    day, path = date(2024, 3, 5), str(tmp_path / "runs")
+    full = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
+    assert tables.write_run_table(full.where("id > 9"), path, day).columns == ["id", "name"]  # first of all no rows
+    assert tables.write_run_table(full, path, day).count() == 2
+    assert tables.write_run_table(full, path, date(2024, 3, 6)).count() == 2
+    assert tables.write_run_table(full.where("id > 9"), path, day).count() == 0
+    assert tables.read_run_table(spark, path, day).count() == 0
+    assert tables.read_run_table(spark, path).count() == 2
+
+
+@pytest.mark.parametrize("keys", ["drop", "fail"])
+@pytest.mark.parametrize("line", ['{"id": 2, "amount": "abc"}', "not json", '{"id": 3, "amou'])
+def test_malformed_records_raise(spark, tmp_path, keys, line):
+    (tmp_path / "records.json").write_text('{"id": 1, "amount": 2.5}\n' + line + "\n")
+    with pytest.raises(Exception, match="(?i)malformed|failfast"):
+        files.records_to_frame(spark, str(tmp_path / "records.json"), "id int, amount double", keys).collect()
