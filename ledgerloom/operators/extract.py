@@ -7,8 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.skew import hot_keys, left_join
+from ledgerloom.operators.skew import key_counts, left_join
 from ledgerloom.params import RunParams
+from ledgerloom.session import checkpoint
 
 RAW_COLUMNS = [
     "transaction_id", "customer_id", "product_id", "amount", "transaction_date",
@@ -42,12 +43,12 @@ def extract_raw(
 ) -> DataFrame:
     """The raw rows of one run day.
 
-    Both joins are on the customer, so the transactions are shuffled once for them. Their hot customers
-    are found once, on the key column of the window.
+    Both joins are on the customer, so the transactions are shuffled once for them unless customers are
+    hot. The transactions of a customer are counted once, on the key column of the window.
     """
     window = lookback_filter(transactions, params.run_date, params.lookback_days, until=params.until)
-    hot = hot_keys(window, "customer_id")
+    counts = checkpoint(key_counts(window, "customer_id"))
     segments = profiles.select("customer_id", "customer_segment")
     contacts = campaigns.select("customer_id", "campaign_id", "channel")
-    joined = left_join(window, segments, "customer_id", hot_left=hot)
-    return project_training_cols(left_join(joined, contacts, "customer_id", hot_left=hot))
+    joined = left_join(window, segments, "customer_id", left_counts=counts)
+    return project_training_cols(left_join(joined, contacts, "customer_id", left_counts=counts))
