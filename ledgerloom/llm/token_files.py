@@ -30,7 +30,7 @@ from ledgerloom.llm.text import strings
 
 CONTAINER_IDS = 1 << 21
 PART_BYTES = 16 << 20
-CACHED_PIECES = 400_000
+CACHED_PIECES = 50_000
 END_ID = 2
 SAMPLE = 64  # a select starts at the nearest sampled one bit
 
