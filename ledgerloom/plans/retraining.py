@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.operators.customers import customer_metrics, training_table
 from ledgerloom.operators.extract import extract_raw
-from ledgerloom.operators.model import Classifier, evaluate, train, validation_gate
+from ledgerloom.operators.model import Classifier, evaluate, load_model, train, validation_gate
 from ledgerloom.operators.quality import dq_clean, dq_raw, dq_report
 from ledgerloom.params import FeatureParams, ModelParams, RunParams
-from ledgerloom.plans.features import FeatureModel, fit_features, split_data
+from ledgerloom.plans.features import FeatureModel, fit_features, load_feature_model, split_data
+from ledgerloom.sources.files import load_table
 from ledgerloom.sources.tables import append_run_log, read_run_log, save_metrics, write_run_table
 
 
@@ -82,3 +83,12 @@ def run_retraining(
     return RunResult(
         training, report, fitted, classifier, metrics, value, read_run_log(spark, f"{root}/runs")
     )
+
+
+def validate_stored(
+    spark: SparkSession, model_path: str, data_path: str, threshold: float, target: str = "target", schema=None
+) -> float:
+    """The acceptance test of a stored run: model and features below ``model_path``, raw rows of a file."""
+    classifier = load_model(spark, f"{model_path}/classifier")
+    fitted = load_feature_model(spark, f"{model_path}/features")
+    return validation_gate(classifier, load_table(spark, data_path, schema), threshold, target, fitted)

@@ -126,6 +126,19 @@ def test_gate(trained, model_rows):
         model.validation_gate(trained, model_rows.where("row_id < 0"), 0.5)
 
 
+def test_gate_of_a_stored_run(spark, transactions, tmp_path):
+    params = FeatureParams(key_columns=("transaction_id", "customer_id"))
+    fitted, prepared = plan.fit_features(transactions, params)
+    forest = model.train(prepared, fitted.feature_columns(), "target", FOREST)
+    forest.save(f"{tmp_path}/classifier")
+    fitted.save(f"{tmp_path}/features")
+    transactions.write.parquet(f"{tmp_path}/rows.parquet")
+    share = model.validation_gate(forest, transactions, 0.0, features=fitted)
+    assert retraining.validate_stored(spark, str(tmp_path), f"{tmp_path}/rows.parquet", share) == share
+    with pytest.raises(ValueError, match="not accepted"):
+        retraining.validate_stored(spark, str(tmp_path), f"{tmp_path}/rows.parquet", share + 1e-6)
+
+
 def test_any_python_model(model_rows):
     def loader():
         def score(batch):
