@@ -6,7 +6,8 @@ at the few documents that have any.
 
 Defined cases. NULL texts and texts without words have no windows and are never contaminated; an item without words
 is ignored; an item of fewer than ``n`` words is one window. Items that repeat, share windows or have NULL ids are
-fine (a NULL id counts as the text 'null'). Rows of ``docs`` that repeat an id and a text are one document. Empty tables
+fine (a NULL id counts as the text 'null'). Rows of ``docs`` that repeat an id and a text are one document; rows
+that share an id, or have none, with other texts are documents of their own, told apart by a digest. Empty tables
 give no hits. Further columns are not looked at, and the removing forms keep them.
 """
 
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.text import ascii_lower, stored, text_of
+from ledgerloom.llm.text import ascii_lower, stored, text_digest, text_of
 from ledgerloom.operators.skew import small_side, total_bytes
 
 WINDOW = 10
@@ -47,7 +48,7 @@ def hits(
     docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text",
 ) -> tuple[DataFrame, DataFrame]:
-    """(documents, hits): doc_id, n_words for all, and doc_id, at, length, items for each verified window.
+    """(documents, hits): doc_id, digest, n_words for all, and doc_id, digest, at, length, items for each verified window.
 
     Hashes are taken of fully lower-cased words, which agree wherever the words with A-Z lowered do; the second
     look compares the latter.
@@ -58,8 +59,8 @@ def hits(
     marks = windows.select(F.col("length").alias("m_length"), F.xxhash64(folded).alias("m_hash")).distinct()
     marks = small_side(marks, total_bytes(marks))
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("_text"))
-    looked = rows.select("doc_id", words_of(F.lower("_text")).alias("w"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_digest(text_col).alias("digest"), text_of(text_col).alias("_text"))
+    looked = rows.select("doc_id", "digest", words_of(F.lower("_text")).alias("w"))
 
     def windows_of(length: int) -> Column:
         starts = F.when(F.size("w") >= length, F.sequence(F.lit(0), F.size("w") - length)).otherwise(F.array().cast("array<int>"))
@@ -68,37 +69,51 @@ def hits(
     parts = [windows_of(k) for k in lengths]
     empty = F.array().cast("array<struct<length:int,at:int,hash:bigint>>")
     every = F.concat(*parts) if len(parts) > 1 else parts[0] if parts else empty
-    spread = looked.select("doc_id", F.explode(every).alias("p")).select("doc_id", F.col("p")["length"].alias("length"), F.col("p")["at"].alias("at"), F.col("p")["hash"].alias("hash"))
+    spread = looked.select("doc_id", "digest", F.explode(every).alias("p")).select("doc_id", "digest", F.col("p")["length"].alias("length"), F.col("p")["at"].alias("at"), F.col("p")["hash"].alias("hash"))
     found = spread.join(marks, (F.col("hash") == F.col("m_hash")) & (F.col("length") == F.col("m_length")), "left_semi")
-    found = stored(found.groupBy("doc_id").agg(F.collect_set(F.struct("length", "at")).alias("places")), "window-hits")
+    found = stored(found.groupBy("doc_id", "digest").agg(F.collect_set(F.struct("length", "at")).alias("places")), "window-hits")
 
-    some = small_side(found, total_bytes(found.select("doc_id")) + 16 * (found.agg(F.sum(F.size("places"))).first()[0] or 0))
-    again = rows.join(some.withColumnRenamed("doc_id", "_hit_id"), F.col("doc_id").eqNullSafe(F.col("_hit_id")))
-    again = again.select("doc_id", words_of(ascii_lower(F.col("_text"))).alias("w"), "places")
+    some = small_side(found, total_bytes(found.select("doc_id", "digest")) + 16 * (found.agg(F.sum(F.size("places"))).first()[0] or 0))
+    again = rows.join(some.withColumnsRenamed(HIT), _same_document())
+    again = again.select("doc_id", "digest", words_of(ascii_lower(F.col("_text"))).alias("w"), "places")
     cut = F.transform("places", lambda p: F.struct(p["at"].alias("at"), F.slice(F.col("w"), p["at"] + 1, p["length"]).alias("words")))
-    cut = again.select("doc_id", F.explode(cut).alias("c")).select("doc_id", F.col("c")["at"].alias("at"), F.col("c")["words"].alias("words"))
-    sure = cut.join(small_side(windows, total_bytes(windows) + 64 * n * windows.count()), "words").select("doc_id", "at", "length", "items").distinct()
-    counted = looked.select("doc_id", F.size("w").cast("long").alias("n_words"))
+    cut = again.select("doc_id", "digest", F.explode(cut).alias("c")).select("doc_id", "digest", F.col("c")["at"].alias("at"), F.col("c")["words"].alias("words"))
+    sure = cut.join(small_side(windows, total_bytes(windows) + 64 * n * windows.count()), "words").select("doc_id", "digest", "at", "length", "items").distinct()
+    counted = looked.select("doc_id", "digest", F.size("w").cast("long").alias("n_words"))
     return counted, sure
 
 
+HIT = {"doc_id": "_hit_id", "digest": "_hit_digest"}
+
+
+def _same_document() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("_hit_id")) & (F.col("digest") == F.col("_hit_digest"))
+
+
 def contamination(
     docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items (sorted ids), places (hit word numbers)."""
+    return _contamination(docs, benchmark, n, id_col, text_col, item_col, item_text_col).drop("digest")
+
+
+def _contamination(
+    docs: DataFrame, benchmark: DataFrame, n: int, id_col: str, text_col: str, item_col: str, item_text_col: str
+) -> DataFrame:
+    """``contamination`` with the digests."""
     counted, sure = hits(docs, benchmark, n, id_col, text_col, item_col, item_text_col)
     span = F.sequence(F.col("at"), F.col("at") + F.col("length") - 1)
-    per = sure.groupBy("doc_id").agg(
+    per = sure.groupBy("doc_id", "digest").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(span)))).alias("places"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
     per = stored(per, "contaminated")
-    known = small_side(per, total_bytes(per.select("doc_id")) + (per.agg(F.sum(4 * F.size("places") + 32 * F.size("items"))).first()[0] or 0))
-    known = known.withColumnRenamed("doc_id", "_hit_id")
+    known = small_side(per, total_bytes(per.select("doc_id", "digest")) + (per.agg(F.sum(4 * F.size("places") + 32 * F.size("items"))).first()[0] or 0))
+    known = known.withColumnsRenamed(HIT)
     none = F.array().cast("array<string>")
-    return counted.distinct().join(known, F.col("doc_id").eqNullSafe(F.col("_hit_id")), "left").select(
-        "doc_id", "n_words", F.coalesce(F.size("places"), F.lit(0)).cast("long").alias("n_hit"),
+    return counted.distinct().join(known, _same_document(), "left").select(
+        "doc_id", "digest", "n_words", F.coalesce(F.size("places"), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", none).alias("items"),
         F.coalesce("places", F.array().cast("array<int>")).alias("places"),
     )
@@ -110,9 +125,10 @@ def drop_contaminated(
 ) -> DataFrame:
     """The documents without a hit, with all their columns."""
     _, sure = hits(docs, benchmark, n, id_col, text_col, item_col, item_text_col)
-    bad = stored(sure.select(F.col("doc_id").alias("_hit_id")).distinct(), "contaminated")
+    bad = stored(sure.select("doc_id", "digest").distinct().withColumnsRenamed(HIT), "contaminated")
     bad = small_side(bad, total_bytes(bad))
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_hit_id"]), "left_anti")
+    same = docs[id_col].eqNullSafe(bad["_hit_id"]) & (text_digest(text_col) == bad["_hit_digest"])
+    return docs.join(bad, same, "left_anti")
 
 
 def cut_contaminated(
@@ -120,9 +136,9 @@ def cut_contaminated(
     item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
     """(doc_id, text): each contaminated document as its words without the hit ones, others with their whole text."""
-    marked = contamination(docs, benchmark, n, id_col, text_col, item_col, item_text_col).select(F.col("doc_id").alias("_id"), "places")
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    joined = rows.join(marked, F.col("doc_id").eqNullSafe(F.col("_id")))
+    marked = _contamination(docs, benchmark, n, id_col, text_col, item_col, item_text_col).select("doc_id", "digest", "places")
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_digest(text_col).alias("digest"), text_of(text_col).alias("text"))
+    joined = rows.join(marked.withColumnsRenamed(HIT), _same_document())
     words = words_of(ascii_lower(F.col("text")))
     left = F.filter(words, lambda w, i: ~F.array_contains(F.col("places"), i))
     return joined.select("doc_id", F.when(F.size("places") == 0, F.col("text")).otherwise(F.array_join(left, " ")).alias("text"))

@@ -10,7 +10,7 @@ A key with many fingerprints is cut into blocks, and blocks meet in pairs, so no
 returns links that connect what is connected in it, not all pairs.
 
 Defined cases. NULL and empty texts, and texts of white space, have fingerprint 0 and link like any other. Rows that
-repeat an id and a text are one document. A NULL id is a member but never a smallest id. An empty input gives no
+repeat an id and a text are one document; other rows that share an id, or have none, are told apart by a digest. A NULL id is a member but never a smallest id. An empty input gives no
 rows. Further columns of the input are not looked at.
 """
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components
-from ledgerloom.llm.text import stored, strings
+from ledgerloom.llm.text import stored, strings, text_digest
 
 SHINGLE = 3
 DISTANCE = 3
@@ -57,15 +57,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = 42) -> int
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the 64 bits as a signed long."""
-    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    """(doc_id, digest, fp): the 64 bits as a signed long, and the MD5 of the text."""
+    rows = docs.select(
+        F.col(id_col).cast("string").alias("doc_id"), text_digest(text_col).alias("digest"), F.col(text_col).cast("string").alias("text")
+    )
 
     def run(batches):
         for batch in batches:
             marks = np.fromiter((fingerprint(t, shingle) for t in strings(batch["text"])), np.uint64, len(batch))
-            yield pd.DataFrame({"doc_id": strings(batch["doc_id"]), "fp": marks.view(np.int64)})
+            yield pd.DataFrame({"doc_id": strings(batch["doc_id"]), "digest": batch["digest"], "fp": marks.view(np.int64)})
 
-    return rows.mapInPandas(run, "doc_id string, fp long").withColumn("doc_id", F.col("doc_id").cast("long"))
+    return rows.mapInPandas(run, "doc_id string, digest binary, fp long").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _verified(rows: pd.DataFrame, distance: int) -> pd.DataFrame:
@@ -133,19 +135,38 @@ def simhash_groups(
     docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per document: doc_id, fp (signed long), component_id (the smallest id reachable by links)."""
-    marks = stored(fingerprints(docs, shingle, id_col, text_col).distinct(), "fingerprints")
+    marks = stored(fingerprints(docs, shingle, id_col, text_col).select("doc_id", "fp").distinct(), "fingerprints")
+    return _grouped(marks, distance).drop("root")
+
+
+def _grouped(marks: DataFrame, distance: int) -> DataFrame:
+    """Adds to each fingerprint (doc_id, fp) the root of its group and component_id."""
     classes = stored(marks.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-classes")
     roots = components(fingerprint_links(classes.select("fp"), distance))
     reached = classes.join(roots, classes["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp"))
     least = reached.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of = reached.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return marks.join(of, "fp").select("doc_id", "fp", F.coalesce("component_id", "doc_id").alias("component_id"))
+    of = reached.select("fp", "root").join(least, "root").select("fp", "component_id", "root")
+    return marks.join(of, "fp").withColumn("component_id", F.coalesce("component_id", "doc_id"))
 
 
 def keep_one(
     docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The document with the smallest id of every group, with all its columns; groups without an id keep all."""
-    groups = simhash_groups(docs, shingle, distance, id_col, text_col)
-    kept = groups.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["_kept_id"]), "left_semi")
+    """One document of every group, with all its columns: the one with the smallest id.
+
+    Of several texts under that id, and in a group without ids, it is the one whose digest sorts first. Of rows that
+    repeat an id and a text one is kept.
+    """
+    marks = fingerprints(docs, shingle, id_col, text_col).groupBy("doc_id", "digest", "fp").agg(F.count("*").alias("rows"))
+    groups = _grouped(stored(marks, "fingerprints"), distance)
+    kept = groups.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).groupBy("root").agg(
+        F.min(F.struct("digest", "doc_id", "rows")).alias("k")
+    )
+    kept = stored(kept.select(F.col("k")["doc_id"].alias("_kept_id"), F.col("k")["digest"].alias("_kept"), F.col("k")["rows"].alias("_rows")), "kept")
+    same = docs[id_col].cast("long").eqNullSafe(F.col("_kept_id")) & (text_digest(text_col) == F.col("_kept"))
+    once = docs.join(kept.where("_rows = 1"), same, "left_semi")
+    several = kept.where("_rows > 1")
+    if several.isEmpty():
+        return once
+    repeated = docs.join(several, same).dropDuplicates(["_kept_id", "_kept"]).select(*docs.columns)
+    return once.unionByName(repeated)

@@ -35,6 +35,11 @@ def text_of(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def text_digest(name: str) -> Column:
+    """MD5 of the text, which tells rows with the same id, or none, apart; NULL counts as empty."""
+    return F.unhex(F.md5(text_of(name).cast("binary")))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)
