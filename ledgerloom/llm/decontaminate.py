@@ -50,17 +50,15 @@ def hits(
 ) -> tuple[DataFrame, DataFrame]:
     """(documents, hits): doc_id, digest, n_words for all, and doc_id, digest, at, length, items for each verified window.
 
-    Hashes are taken of fully lower-cased words, which agree wherever the words with A-Z lowered do; the second
-    look compares the latter.
+    Both looks lower A-Z and nothing else, by hash and then word by word.
     """
     windows = stored(benchmark_windows(benchmark, n, item_col, item_text_col), "benchmark-windows")
     lengths = [r[0] for r in windows.select("length").distinct().orderBy("length").collect()]  # n values at most
-    folded = F.transform("words", lambda w: F.lower(w))
-    marks = windows.select(F.col("length").alias("m_length"), F.xxhash64(folded).alias("m_hash")).distinct()
+    marks = windows.select(F.col("length").alias("m_length"), F.xxhash64("words").alias("m_hash")).distinct()
     marks = small_side(marks, total_bytes(marks))
 
     rows = docs.select(F.col(id_col).alias("doc_id"), text_digest(text_col).alias("digest"), text_of(text_col).alias("_text"))
-    looked = rows.select("doc_id", "digest", words_of(F.lower("_text")).alias("w"))
+    looked = rows.select("doc_id", "digest", words_of(ascii_lower(F.col("_text"))).alias("w"))
 
     def windows_of(length: int) -> Column:
         starts = F.when(F.size("w") >= length, F.sequence(F.lit(0), F.size("w") - length)).otherwise(F.array().cast("array<int>"))

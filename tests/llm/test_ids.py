@@ -31,3 +31,11 @@ def test_one_of_each_group_stays(spark):
     kept = simhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted(" ".join(r.text.split()) for r in kept) == sorted([near, made(7), made(8), made(10), made(11)])
     assert [r.tag for r in kept if r.text == made(8)] == ["d"]
+
+
+def test_capital_sigma(spark):
+    """Its lower case depends on what follows, beyond the word."""
+    text = " ".join(f"ΟΔΟΣ{c}Α{i} ΛΟΓΟΣ.Β" for i, c in enumerate("'.:’'.':.'"))
+    table = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    benchmark = table.withColumnRenamed("doc_id", "item_id")
+    assert decontaminate.drop_contaminated(table, benchmark).isEmpty()
