@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    decontaminate, exact_dedup, mixing, passages, pii, sharding, simhash, suffix_tree, token_files, toxicity,
+    decontaminate, exact_dedup, minhash, mixing, passages, pii, sharding, simhash, suffix_tree, token_files, toxicity,
 )
 from ledgerloom.llm.text import documents
 from ledgerloom.session import new_shared_path
@@ -127,3 +127,20 @@ def op10_token_output(spark, sf_dir):
     path = new_shared_path(spark, "tokens")
     token_files.write_tokens(documents(spark, sf_dir), path, tokenizer_path())
     return token_files.read_tokens(spark, path)
+
+
+@query(r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS v
+      FROM d, LATERAL (SELECT unnest(range(1, greatest(len(w) - 3, 2))) AS i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.v = b.v AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(other) AS component_id, d.doc_id = min(other) AS kept
+FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
+""")
+def op13_minhash(spark, sf_dir):
+    return minhash.near_duplicates(documents(spark, sf_dir))
