@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    decontaminate, exact_dedup, minhash, mixing, passages, pii, sharding, simhash, suffix_tree, token_files, toxicity,
+    decontaminate, exact_dedup, minhash, mixing, passages, pii, sharding, simhash, spelling, suffix_tree, token_files, toxicity,
 )
 from ledgerloom.llm.text import documents
 from ledgerloom.session import new_shared_path
@@ -144,3 +144,48 @@ FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
 """)
 def op13_minhash(spark, sf_dir):
     return minhash.near_duplicates(documents(spark, sf_dir))
+
+
+# CRC-32 of the UTF-8 bytes of ``s``; ``tab`` is the column of CRC_TABLE.
+CRC_TABLE = """tab AS (
+  SELECT list(c ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) t(i)))"""
+
+
+def crc_sql(s: str) -> str:
+    digit = "(strpos('0123456789ABCDEF', substr({h}, {at}, 1)) - 1)"
+    high, low = digit.format(h=f"hex(encode({s}))", at="2 * k + 1"), digit.format(h=f"hex(encode({s}))", at="2 * k + 2")
+    data = f"list_transform(range(octet_length(encode({s}))), lambda k: 16 * {high} + {low})"
+    return f"xor(list_reduce(list_prepend(4294967295, {data}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+@query(rf"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS r FROM documents) GROUP BY ALL),
+hashed AS (SELECT r, k, {crc_sql("(coalesce(doc_id::VARCHAR, '') || ':' || r)")} AS h FROM runs, tab),
+words AS (
+  SELECT w AS word, sum(k)::BIGINT AS n
+  FROM (SELECT k, CASE WHEN h % 97 = 0 THEN left(r, (h % length(r))::BIGINT) || substr(r, (h % length(r))::BIGINT + 2) ELSE r END AS w FROM hashed)
+  WHERE length(w) >= 5 GROUP BY w HAVING sum(k) >= 3),
+cut AS (SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS v FROM words, LATERAL (SELECT unnest(range(1, length(word) + 1)) AS i)),
+one AS (
+  SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.i = b.i AND a.v = b.v AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cut c JOIN words w ON c.v = w.word
+  UNION SELECT w.word, c.word FROM cut c JOIN words w ON c.v = w.word),
+best AS (
+  SELECT a AS word, count(*) AS n_near, max(w.n) AS top, min(b ORDER BY b) FILTER (WHERE w.n = m.top) AS form
+  FROM one JOIN words w ON w.word = b JOIN (SELECT a AS x, max(n) AS top FROM one JOIN words ON word = b GROUP BY a) m ON m.x = a GROUP BY a),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN top >= 2 * n THEN form END AS form, CASE WHEN top >= 2 * n THEN top END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+follow AS (
+  SELECT word, word AS last, 0 AS step FROM words
+  UNION ALL SELECT f.word, g.form, f.step + 1 FROM follow f JOIN forms g ON g.word = f.last WHERE g.form IS NOT NULL)
+SELECT word, form, arg_max(last, step) AS root, any_value(n) AS n, any_value(n_near) AS n_near, any_value(form_n) AS form_n
+FROM forms JOIN follow USING (word) GROUP BY word, form
+""")
+def op12_spelling(spark, sf_dir):
+    return spelling.variants(spelling.word_counts(documents(spark, sf_dir), spelling.DAMAGE))
