@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    decontaminate, exact_dedup, minhash, mixing, passages, pii, sharding, simhash, spelling, suffix_tree, token_files, toxicity,
+    conversations, decontaminate, exact_dedup, minhash, mixing, passages, pii, sharding, simhash, spelling, suffix_tree, token_files, toxicity,
 )
 from ledgerloom.llm.text import documents
 from ledgerloom.session import new_shared_path
@@ -189,3 +189,66 @@ FROM forms JOIN follow USING (word) GROUP BY word, form
 """)
 def op12_spelling(spark, sf_dir):
     return spelling.variants(spelling.word_counts(documents(spark, sf_dir), spelling.DAMAGE))
+
+
+def _with_cost(state: str, cost: str, letter: str) -> str:
+    """A state of the parse is its cost in nine digits, then its audit: the least text is the cheapest, then the first."""
+    return f"(lpad((left({state}, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || substr({state}, 10) || '{letter}')"
+
+
+def _step_sql() -> str:
+    def ways(initial: str, sources: list[int]) -> str:
+        kept = [f"CASE WHEN initial = '{initial}' THEN {_with_cost(f's{p}', 'keep', 'K')} END" for p in sources]
+        return ", ".join(kept + ([_with_cost(f"s{p}", "keep + 3", "R") for p in sources] if initial != "s" else []))
+
+    gone = [_with_cost(f"s{p}", "4", "D") for p in range(4)]
+    return (
+        f"{gone[0]} AS n0, least({gone[1]}, {ways('s', [0])}) AS n1, least({gone[2]}, {ways('u', [0, 1, 3])}) AS n2, least({gone[3]}, {ways('a', [2])}) AS n3"
+    )
+
+
+@query(rf"""
+WITH RECURSIVE {CRC_TABLE},
+hashed AS (
+  SELECT coalesce(conv_id::VARCHAR, ' ') AS k, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc_sql("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS h FROM conversations, tab),
+damaged AS (
+  SELECT k, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN h = 1 THEN '' WHEN h = 2 THEN translate(text, '.!?', '') ELSE text END AS text, copy
+  FROM hashed, LATERAL (SELECT unnest(range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy)),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, text, copy) AS i, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM damaged),
+faulty AS (
+  SELECT *, left(role, 1) AS initial, CASE WHEN body = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY k, role, text ORDER BY i) > 1 THEN 'duplicate'
+         WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM numbered),
+r AS (
+  SELECT *, CASE fault WHEN '' THEN 0 WHEN 'truncated' THEN 3 END AS keep,
+         i > 1 AND lag(initial) OVER (PARTITION BY k ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS illegal FROM faulty),
+c AS (SELECT k, any_value(conv_id) AS conv_id FROM hashed GROUP BY k),
+parse AS (
+  SELECT k, 0::BIGINT AS i, '000000000' AS s0, NULL::VARCHAR AS s1, '000000003I' AS s2, '000000006II' AS s3 FROM c
+  UNION ALL
+  SELECT k, i, n0, n1, m2, least(n3, {_with_cost("m2", "3", "I")}) FROM (
+    SELECT *, least(n2, {_with_cost("n0", "3", "I")}, {_with_cost("n1", "3", "I")}, {_with_cost("n3", "3", "I")}) AS m2 FROM (
+      SELECT r.k, r.i, {_step_sql()} FROM parse JOIN r ON parse.k = r.k AND r.i = parse.i + 1))),
+won AS (SELECT k, arg_max(least(s0, s3), i) AS best FROM parse GROUP BY k),
+edits AS (
+  SELECT k, j, e, count(*) FILTER (WHERE e <> 'I') OVER w AS i, count(*) FILTER (WHERE e <> 'D') OVER w AS place,
+         count(*) FILTER (WHERE e <> 'D') OVER (PARTITION BY k) AS n
+  FROM (SELECT k, j, substr(best, 9 + j, 1) AS e FROM won, LATERAL (SELECT unnest(range(1, length(best) - 8)) AS j))
+  WINDOW w AS (PARTITION BY k ORDER BY j)),
+repaired AS (
+  SELECT e.k, string_agg(CASE WHEN e.e = 'K' THEN r.role WHEN (place - n % 2) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e.e = 'I' THEN '' ELSE r.text END,
+         chr(10) ORDER BY j) AS body
+  FROM edits e LEFT JOIN r ON r.k = e.k AND r.i = e.i WHERE e.e <> 'D' GROUP BY e.k),
+counts AS (
+  SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+         count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE illegal) AS illegal FROM r GROUP BY k)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, left(best, 9)::BIGINT AS cost, substr(best, 10) AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM c JOIN won USING (k) LEFT JOIN counts USING (k) LEFT JOIN repaired USING (k)
+""")
+def op11_conversations(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.repair_report(conversations.damage(rows), present_col="present")
