@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,7 @@ from ledgerloom.operators.model import Classifier, evaluate, load_model, train,
 from ledgerloom.operators.quality import dq_clean, dq_raw, dq_report
 from ledgerloom.params import FeatureParams, ModelParams, RunParams
 from ledgerloom.plans.features import FeatureModel, fit_features, load_feature_model, split_data
+from ledgerloom.sources import versions
 from ledgerloom.sources.files import load_table
 from ledgerloom.sources.tables import append_run_log, read_run_log, save_metrics, write_run_table
 
@@ -68,10 +70,7 @@ def run_retraining(
     metrics = evaluate(classifier, test_rows, features.target_column)
 
     day = run.run_date
-    model_path = f"{root}/models/{day:%Y%m%d}"
-    classifier.save(f"{model_path}/classifier")
-    fitted.save(f"{model_path}/features")
-    save_metrics(spark, f"{model_path}/metrics", day, metrics)
+    model_path = save_run_model(spark, root, day, classifier, fitted, metrics)
     append_run_log(
         spark, f"{root}/runs", uuid.uuid4().hex, day, params=model.as_dict(),
         metrics={"training_time_seconds": classifier.seconds, **metrics}, artifacts={"model": model_path},
@@ -85,6 +84,24 @@ def run_retraining(
     )
 
 
+def save_run_model(
+    spark: SparkSession, root: str, day: date, classifier: Classifier, fitted: FeatureModel, metrics: dict
+) -> str:
+    """Model, features and metrics of a day in one folder, which becomes the day's model once all three are written."""
+
+    def write(folder: str) -> None:
+        classifier.save(f"{folder}/classifier")
+        fitted.save(f"{folder}/features")
+        save_metrics(spark, f"{folder}/metrics", day, metrics)
+
+    return versions.put_folder(spark, f"{root}/models", {"run_date": day.isoformat()}, write)
+
+
+def run_model_path(spark: SparkSession, root: str, day: date) -> str:
+    """The folder of the day's current model."""
+    return versions.folder_of(spark, f"{root}/models", {"run_date": day.isoformat()})
+
+
 def validate_stored(
     spark: SparkSession, model_path: str, data_path: str, threshold: float, target: str = "target", schema=None
 ) -> float:

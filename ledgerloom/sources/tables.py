@@ -1,32 +1,43 @@
-"""Run-dated tables: one table per dataset, one partition per run day, safe to rerun."""
+"""Run-dated tables: one table per dataset, one partition per run day, replaced at once and safe to rerun."""
 
 from __future__ import annotations
 
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from ledgerloom.sources import versions
 
 RUN_LOG_SCHEMA = "run_id string, run_date date, kind string, name string, value string, logged_at timestamp"
 
 
-def write_run_table(df: DataFrame, path: str, run_date: date) -> DataFrame:
-    """Replace the partition of ``run_date`` and return it as read back from storage.
+def write_run_table(df: DataFrame, path: str, run_date: date, part: str | None = None) -> DataFrame:
+    """Replace the rows of ``run_date`` and return them as read back from storage.
+
+    The day changes at once, when its folder is complete: a write that fails leaves the earlier rows of the day, a reader
+    sees one version, and a rerun gives the same rows, also by a result without rows. With ``part`` only that part of the
+    day is replaced, so steps that add to a day can be rerun one by one. The write is also the restart point of the
+    steps behind it.
+    """
+    key = {"run_date": run_date.isoformat()} | ({} if part is None else {"part": part})
+    return versions.put(df, path, key)
+
+
+def read_run_table(spark: SparkSession, path: str, run_date: date | None = None, version: int | None = None) -> DataFrame:
+    """One run day (only its folders are opened), or the whole table with its ``run_date`` column; parts as one.
 
-    Exactly the folder of that day is replaced, also by a result without rows. Other days stay untouched and a
-    rerun gives the same rows. The write is also the restart point of the steps behind it.
+    ``version`` reads the table as it was then.
     """
-    folder = f"{path.rstrip('/')}/run_date={run_date.isoformat()}"
-    df.write.mode("overwrite").parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    day = None if run_date is None else {"run_date": run_date.isoformat()}
+    table = versions.read(spark, path, day, version)
+    parted = any("/part=" in key for key in versions.snapshot(spark, path, version).keys)
+    return table.drop("part") if parted else table
 
 
-def read_run_table(spark: SparkSession, path: str, run_date: date | None = None) -> DataFrame:
-    """One run day (partition-pruned), or the whole table with its ``run_date`` column."""
-    table = spark.read.parquet(path)
-    if run_date is None:
-        return table
-    return table.where(F.col("run_date") == F.lit(run_date)).drop("run_date")
+def run_days(spark: SparkSession, path: str) -> list[date]:
+    """The days of a run table, from its log alone."""
+    keys = versions.snapshot(spark, path).keys
+    return sorted({date.fromisoformat(key.split("/")[0].removeprefix("run_date=")) for key in keys})
 
 
 def metrics_frame(spark: SparkSession, run_date: date, metrics: dict[str, float]) -> DataFrame:
@@ -62,15 +73,10 @@ def append_run_log(
         for kind, entries in kinds.items()
         for name, value in entries.items()
     ]
-    (
-        spark.createDataFrame(rows, RUN_LOG_SCHEMA)
-        .coalesce(1)
-        .write.partitionBy("run_date", "run_id")
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(path)
-    )
+    frame = spark.createDataFrame(rows, RUN_LOG_SCHEMA).coalesce(1).drop("run_id", "run_date")
+    versions.put(frame, path, {"run_date": run_date.isoformat(), "run_id": run_id})
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_LOG_SCHEMA).parquet(path)
+    columns = [f.split()[0] for f in RUN_LOG_SCHEMA.split(", ")]
+    return versions.read(spark, path).select(*columns)

@@ -177,7 +177,8 @@ def test_daily_run(spark, sf, tmp_path):
     assert 0 <= first.accuracy <= 1 and first.accuracy == pytest.approx(first.metrics["accuracy"])
     names = {(r["kind"], r["name"]) for r in first.log.collect()}
     assert {("param", "n_estimators"), ("metric", "training_time_seconds"), ("metric", "auc"), ("artifact", "model")} <= names
-    stored = spark.read.json(f"{root}/models/20010801/metrics")
+    saved = retraining.run_model_path(spark, root, date(2001, 8, 1))
+    stored = spark.read.json(f"{saved}/metrics")
     assert {r["metric"] for r in stored.collect()} == set(first.metrics)
 
     with pytest.raises(ValueError, match="not accepted"):
@@ -185,7 +186,7 @@ def test_daily_run(spark, sf, tmp_path):
     # The second run of the day replaced its tables and logged itself as a new run.
     assert tables.read_run_table(spark, f"{root}/clean_training_data").count() == 146
     assert tables.read_run_log(spark, f"{root}/runs").select("run_id").distinct().count() == 2
-    again = model.load_model(spark, f"{root}/models/20010801/classifier")
-    fitted = plan.load_feature_model(spark, f"{root}/models/20010801/features")
+    again = model.load_model(spark, f"{saved}/classifier")
+    fitted = plan.load_feature_model(spark, f"{saved}/features")
     training = tables.read_run_table(spark, f"{root}/clean_training_data", date(2001, 8, 1))
     assert model.batch_score(training, again, fitted, "customer_id").count() == 146
