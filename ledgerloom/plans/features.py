@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +12,9 @@ from ledgerloom.functions.schema import numeric_columns, string_columns
 from ledgerloom.operators.encode import (
     class_sizes, label_encode_apply, label_encode_fit, standard_scale_apply, standard_scale_fit,
 )
-from ledgerloom.operators.features import customer_features, date_features, split_target
+from ledgerloom.operators.features import CUSTOMER_FEATURES, customer_features, date_features, split_target
 from ledgerloom.operators.impute import apply_impute, drop_critical_nulls, fit_impute
+from ledgerloom.operators.moments import customer_moments, merge_moments, stats_of_moments
 from ledgerloom.operators.outliers import apply_fences, fit_filled_fences, iqr_filter_sequential
 from ledgerloom.operators.split import stratified_split
 from ledgerloom.params import FeatureParams
@@ -47,30 +48,44 @@ def clean_data(df: DataFrame, params: FeatureParams) -> DataFrame:
 
 @dataclass(frozen=True)
 class FeatureModel:
-    """Fitted state: a few numbers per column, and the class lists as a table."""
+    """Fitted state: a few numbers per column, and the class lists and the customers' moments as tables."""
 
     params: FeatureParams
     fills: dict
     scales: dict
     sizes: dict
     classes: DataFrame | None
+    customers: DataFrame | None = None
 
     def transform(self, df: DataFrame, customer_stats: DataFrame | None = None) -> DataFrame:
         """Prepared columns for every row of ``df``; no row is dropped.
 
-        Missing values get the fills of the fit. A stream needs ``customer_stats`` when it carries the
-        customer columns, as it cannot aggregate itself and join the result back.
-        With ``strict_reference`` the batch is cleaned by its own statistics, and may lose rows.
+        Missing values get the fills of the fit, and rows their customer's aggregates of the fit, so a record is
+        prepared the same alone, in a batch and in a stream. ``customer_stats`` takes the place of the latter, and
+        aggregates that ``df`` carries already are kept. With ``strict_reference`` the batch is cleaned and aggregated by
+        itself, and may lose rows.
         """
-        if self.params.strict_reference:
-            filled = clean_data(df, self.params)
+        filled = clean_data(df, self.params) if self.params.strict_reference else self.fill(df)
+        dated = date_features(filled, self.params.date_columns)
+        if set(CUSTOMER_FEATURES) <= set(df.columns):
+            featured = dated
         else:
-            filled = apply_impute(df, {c: v for c, v in self.fills.items() if c in df.columns})
-        featured = customer_features(date_features(filled, self.params.date_columns), customer_stats)
+            fitted = None if self.customers is None or self.params.strict_reference else stats_of_moments(self.customers)
+            featured = customer_features(dated, customer_stats if customer_stats is not None else fitted)
         if self.classes is not None:
             featured = label_encode_apply(featured, self.classes, self.sizes)
         return standard_scale_apply(featured, self.scales)
 
+    def fill(self, df: DataFrame) -> DataFrame:
+        """``df`` with the fills of the fit."""
+        return apply_impute(df, {c: v for c, v in self.fills.items() if c in df.columns})
+
+    def with_new_rows(self, df: DataFrame) -> FeatureModel:
+        """The same model with the customers' moments moved on by further rows; all else stays as fitted."""
+        added = customer_moments(self.fill(df))
+        merged = added if self.customers is None else merge_moments(self.customers, added)
+        return replace(self, customers=checkpoint(merged))
+
     def feature_columns(self) -> list[str]:
         """Columns that go into the model: all scaled ones."""
         return list(self.scales)
@@ -79,12 +94,15 @@ class FeatureModel:
         spark = SparkSession.getActiveSession()
         state = {
             "params": asdict(self.params), "fills": self.fills, "scales": self.scales, "sizes": self.sizes,
+            "customers": self.customers is not None,
         }
         spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1).write.mode("overwrite").text(
             f"{path}/state"
         )
         if self.classes is not None:
             self.classes.write.mode("overwrite").parquet(f"{path}/classes")
+        if self.customers is not None:
+            self.customers.write.mode("overwrite").parquet(f"{path}/customers")
 
 
 def load_feature_model(spark: SparkSession, path: str) -> FeatureModel:
@@ -96,6 +114,7 @@ def load_feature_model(spark: SparkSession, path: str) -> FeatureModel:
         {c: tuple(v) for c, v in state["scales"].items()},
         state["sizes"],
         spark.read.parquet(f"{path}/classes") if state["sizes"] else None,
+        spark.read.parquet(f"{path}/customers") if state.get("customers") else None,
     )
 
 
@@ -112,7 +131,11 @@ def fit_features(df: DataFrame, params: FeatureParams) -> tuple[FeatureModel, Da
     scales. Between them only numbers and class lists are kept; rows come from storage again each time.
     """
     fills, cleaned = _clean(df, params)
-    featured = customer_features(date_features(cleaned, params.date_columns))
+    customers = None
+    if {"customer_id", "amount"} <= set(cleaned.columns):
+        customers = checkpoint(customer_moments(cleaned))
+    dated = date_features(cleaned, params.date_columns)
+    featured = customer_features(dated, None if customers is None else stats_of_moments(customers))
     categorical = _categorical(featured, params)
     classes, sizes = None, {}
     if categorical:
@@ -120,7 +143,7 @@ def fit_features(df: DataFrame, params: FeatureParams) -> tuple[FeatureModel, Da
         sizes = class_sizes(classes)
         featured = label_encode_apply(featured, classes, sizes)
     scales = standard_scale_fit(featured, numeric_columns(featured, _spared(params)))
-    model = FeatureModel(params, fills, scales, sizes, classes)
+    model = FeatureModel(params, fills, scales, sizes, classes, customers)
     return model, standard_scale_apply(featured, scales)
 
 
