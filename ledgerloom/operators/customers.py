@@ -34,12 +34,12 @@ def clean_transactions(raw: DataFrame, params: RunParams) -> DataFrame:
     )
 
 
-def _spread() -> list[Column]:
+def _spread(first: str = "transaction_date", last: str = "transaction_date") -> list[Column]:
     return [
         F.avg("amount").alias("avg_transaction_amount"),
         F.stddev_pop("amount").alias("std_transaction_amount"),
-        F.max("transaction_date").alias("last_transaction_date"),
-        F.min("transaction_date").alias("first_transaction_date"),
+        F.max(last).alias("last_transaction_date"),
+        F.min(first).alias("first_transaction_date"),
     ]
 
 
@@ -82,6 +82,21 @@ def customer_metrics(raw: DataFrame, params: RunParams, task_rows: int = TASK_RO
     return _finish(grouped.join(exposure, GROUP), params)
 
 
+def customer_attributes(campaigns: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Per customer: segments with the number of profile rows, campaign rows, distinct campaigns and channels."""
+    seen = campaigns.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+        F.count("*").alias("_campaign_rows"),
+        F.count_distinct("campaign_id").alias("campaign_exposure_count"),
+        F.count_distinct("channel").alias("channel_count"),
+    )
+    segments = (
+        profiles.where(F.col("customer_id").isNotNull())
+        .groupBy("customer_id", segment_default("customer_segment").alias("customer_segment"))
+        .agg(F.count("*").alias("_profile_rows"))
+    )
+    return segments.join(seen, "customer_id", "full_outer")
+
+
 def customer_metrics_from_sources(
     transactions: DataFrame,
     campaigns: DataFrame,
@@ -94,17 +109,7 @@ def customer_metrics_from_sources(
     All rows of one customer and segment are repeated equally often, so each transaction carries that
     number as a weight. The work grows with the transactions, not with transactions times campaigns.
     """
-    seen = campaigns.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-        F.count("*").alias("_campaign_rows"),
-        F.count_distinct("campaign_id").alias("campaign_exposure_count"),
-        F.count_distinct("channel").alias("channel_count"),
-    )
-    segments = (
-        profiles.where(F.col("customer_id").isNotNull())
-        .groupBy("customer_id", segment_default("customer_segment").alias("customer_segment"))
-        .agg(F.count("*").alias("_profile_rows"))
-    )
-    customers = segments.join(seen, "customer_id", "full_outer")
+    customers = customer_attributes(campaigns, profiles)
     window = lookback_filter(transactions, params.run_date, params.lookback_days, until=params.until)
     if params.dedupe_fanout:
         window = window.where(F.col("transaction_id").isNotNull())
@@ -113,9 +118,20 @@ def customer_metrics_from_sources(
         amount_sanitise("amount", params.amount_max).alias("amount"),
         date_sanitise("transaction_date", params.date_floor, params.as_of).alias("transaction_date"),
     ).where(F.col("customer_id").isNotNull() & F.col("amount").isNotNull())
+    return metrics_of_rows(rows, customers, params, task_rows)
+
+
+def metrics_of_rows(
+    rows: DataFrame, customers: DataFrame, params: RunParams, task_rows: int = TASK_ROWS,
+    first: str = "transaction_date", last: str = "transaction_date",
+) -> DataFrame:
+    """The metrics of cleaned rows (customer_id, amount) with the attributes of their customers.
+
+    ``first`` and ``last`` name the columns, of either side, whose least and largest values are the customer's dates.
+    """
     repeats = F.coalesce("_campaign_rows", F.lit(1)) * F.coalesce("_profile_rows", F.lit(1))
     aggregates = [
-        *_spread(),
+        *_spread(first, last),
         F.sum("_copies").alias("transaction_count"),
         F.max("campaign_exposure_count").alias("campaign_exposure_count"),
         F.max("channel_count").alias("channel_count"),
@@ -123,7 +139,7 @@ def customer_metrics_from_sources(
 
     def grouped(joined: DataFrame, limit: int | None) -> DataFrame:
         weighted = joined.select(
-            "customer_id", "amount", "transaction_date",
+            "customer_id", "amount", *dict.fromkeys([first, last]),
             segment_default("customer_segment").alias("customer_segment"),
             (F.lit(1).cast("long") if params.dedupe_fanout else repeats).alias("_copies"),
             F.coalesce("campaign_exposure_count", F.lit(0)).alias("campaign_exposure_count"),
