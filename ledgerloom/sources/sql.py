@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.sources.cap import cap_frame
+from ledgerloom.sources.files import nan_to_null
+
 QUERY_SECONDS = 7200  # run-time cap of one extract query
 
 
@@ -69,7 +72,7 @@ def jdbc_options(
 
 def extract_jdbc(spark: SparkSession, url: str, **kwargs) -> DataFrame:
     """Read one table or query from a database; see :func:`jdbc_options`."""
-    return spark.read.format("jdbc").options(**jdbc_options(url, **kwargs)).load()
+    return nan_to_null(spark.read.format("jdbc").options(**jdbc_options(url, **kwargs)).load())
 
 
 def extract_sql(
@@ -78,20 +81,23 @@ def extract_sql(
     catalog: str = "spark_catalog",
     schema: str = "default",
     args: dict | None = None,
+    max_seconds: float | None = QUERY_SECONDS,
 ) -> DataFrame:
     """Run one SQL text with unqualified names resolved in ``catalog.schema``.
 
     Values such as the run date go in as named parameters (``:ds``), never pasted into the text. The
-    result stays distributed.
+    result stays distributed. An action on it that takes longer than ``max_seconds`` is ended and raises
+    ``TimeoutError``; None sets no cap. NaN becomes NULL, as in the loaders.
     """
     before = (spark.catalog.currentCatalog(), spark.catalog.currentDatabase())
     try:
         spark.catalog.setCurrentCatalog(catalog)
         spark.catalog.setCurrentDatabase(schema)
-        return spark.sql(query, args=args)
+        found = nan_to_null(spark.sql(query, args=args))
     finally:
         spark.catalog.setCurrentCatalog(before[0])
         spark.catalog.setCurrentDatabase(before[1])
+    return found if max_seconds is None else cap_frame(found, max_seconds)
 
 
 def split_source(source: str) -> tuple[str, str]:
@@ -101,9 +107,9 @@ def split_source(source: str) -> tuple[str, str]:
 
 
 def extract_sql_multi(
-    spark: SparkSession, queries: dict[str, str], args: dict | None = None
+    spark: SparkSession, queries: dict[str, str], args: dict | None = None, max_seconds: float | None = QUERY_SECONDS
 ) -> dict[str, DataFrame]:
     """One lazy frame per source. The first text that does not analyse aborts the whole extract."""
     return {
-        source: extract_sql(spark, text, *split_source(source), args=args) for source, text in queries.items()
+        source: extract_sql(spark, text, *split_source(source), args=args, max_seconds=max_seconds) for source, text in queries.items()
     }
