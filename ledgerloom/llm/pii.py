@@ -39,7 +39,9 @@ LOCAL_PHONE = re.compile(r"(?<![0-9+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?
 SPELLED = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]+(?:(?:\.| ?[\[(](?:dot|DOT)[\])] ?)[A-Za-z0-9-]+)+")
 SECRET = re.compile(r"(?i)(?:password|passwd|secret|token|api[_-]?key)[ \t]*[=:][ \t]*([^\s,;\"']{6,})")
 SECRET_WORDS = ("password", "passwd", "secret", "token", "key")
-ADDRESS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-@")
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")  # EMAIL behind its at sign
+IP_AT_EDGE = re.compile(r"(?<![0-9])" + IP.pattern)  # a match of IP begins where its digits begin
 
 # Gazetteers.
 ENDINGS = frozenset("com org net edu gov info biz io de fr es uk eu us".split())
@@ -70,7 +72,7 @@ def _digits(text: str) -> str:
 def valid(kind: str, value: str) -> bool:
     """The check of a strict match: parts of an address, Luhn sum, number of digits."""
     if kind == "ip":
-        return all(int(x) <= 255 for x in value.split("."))
+        return all(int(x.lstrip("0")[:4] or 0) <= 255 for x in value.split("."))  # a part may have any number of digits
     if kind == "card":
         d = _digits(value)
         return 12 <= len(d) <= 19 and luhn(d)
@@ -80,19 +82,17 @@ def valid(kind: str, value: str) -> bool:
 
 
 def _addresses(text: str):
-    """Matches of EMAIL: each lies in one run of address characters that holds an at sign."""
+    """Matches of EMAIL, looked for once at each at sign: what stands before it is one run, from the last match on."""
     at, done = text.find("@"), 0
     while at >= 0:
         low = at
-        while low > done and text[low - 1] in ADDRESS:
+        while low > done and text[low - 1] in LOCAL:
             low -= 1
-        high = at + 1
-        while high < len(text) and text[high] in ADDRESS:
-            high += 1
-        for m in EMAIL.finditer(text[low:high]):
-            yield low + m.start(), low + m.end()
-        done = high
-        at = text.find("@", high)
+        found = DOMAIN.match(text, at + 1) if low < at else None
+        if found:
+            done = found.end()
+            yield low, done
+        at = text.find("@", max(at + 1, done))
 
 
 def candidates(text: str) -> list[tuple[int, str, int, bool]]:
@@ -102,7 +102,7 @@ def candidates(text: str) -> list[tuple[int, str, int, bool]]:
         run, at = zone.group(), zone.start()
         if len(run) < 7:
             continue
-        for kind, form in (("ip", IP), ("card", CARD), ("phone", PHONE)):
+        for kind, form in (("ip", IP_AT_EDGE), ("card", CARD), ("phone", PHONE)):
             for m in form.finditer(run):
                 if valid(kind, m.group()):
                     out.append((at + m.start(), kind, at + m.end(), True))
