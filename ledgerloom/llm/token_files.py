@@ -31,6 +31,7 @@ from ledgerloom.llm.text import strings
 CONTAINER_IDS = 1 << 21
 PART_BYTES = 16 << 20
 CACHED_PIECES = 400_000
+KEPT_LETTERS = 64  # a longer piece is made each time, which bounds the memory of pieces in bytes
 END_ID = 2
 SAMPLE = 64  # a select starts at the nearest sampled one bit
 
@@ -108,13 +109,15 @@ def byte_letters() -> dict[int, str]:
 
 
 class Pieces(dict):
-    """Ids of pieces as bytes; a missing piece is made and kept."""
+    """Ids of pieces as bytes; a missing piece is made, and kept unless it is long."""
 
     def __init__(self, make):
         self.make = make
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self[piece] = self.make(piece)
+        ids = self.make(piece)
+        if len(piece) <= KEPT_LETTERS:
+            self[piece] = ids
         return ids
 
 
@@ -128,6 +131,7 @@ class PieceEncoder:
 
     CUT = re.compile(r" (?=\S)")
     ODD = re.compile(r" (?!\S)")
+    LINE = re.compile(r"(?<=\S)\n(?=\S)")
     ENDS = frozenset(".,;:!?")
 
     def __init__(self, path: str, end_id: int = END_ID, limit: int = CACHED_PIECES):
@@ -152,10 +156,11 @@ class PieceEncoder:
         return kept[path, end_id]
 
     def _make(self, piece: str, spaced: bool) -> bytes:
-        """A piece is cut further where a cut is certain: around a lone line break, before a last mark after letters."""
-        head, line, tail = piece.partition("\n")
-        if line and head and tail and not head[-1].isspace() and not tail[0].isspace():
-            return (self.known if spaced else self.bare)[head] + self.bare["\n"] + self.bare[tail]
+        """A piece is cut further where a cut is certain: around lone line breaks, before a last mark after letters."""
+        lines = self.LINE.split(piece)
+        if len(lines) > 1:
+            first = (self.known if spaced else self.bare)[lines[0]]
+            return self.bare["\n"].join([first, *map(self.bare.__getitem__, lines[1:])])
         plain = max(piece, default="") < "ɐ"
         if piece[-1:] in self.ENDS and piece[:-1].isalpha() and plain:
             return (self.known if spaced else self.bare)[piece[:-1]] + self.bare[piece[-1]]
