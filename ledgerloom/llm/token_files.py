@@ -109,17 +109,27 @@ def byte_letters() -> dict[int, str]:
 
 
 class Pieces(dict):
-    """Ids of pieces as bytes; a missing piece is made, and kept unless it is long."""
+    """Ids of pieces as bytes; a missing piece is made, and kept unless it is long.
+
+    What is kept has two halves. When the newer one is full the older one goes, so a piece that is used again stays.
+    """
 
     def __init__(self, make):
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.make(piece)
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.make(piece)
         if len(piece) <= KEPT_LETTERS:
             self[piece] = ids
         return ids
 
+    def bound(self, limit: int) -> None:
+        if len(self) > limit // 2:
+            self.older = dict(self)
+            self.clear()
+
 
 class PieceEncoder:
     """Ids of texts as bytes, by the tokenizer and a bounded memory of pieces.
@@ -157,25 +167,26 @@ class PieceEncoder:
 
     def _make(self, piece: str, spaced: bool) -> bytes:
         """A piece is cut further where a cut is certain: around lone line breaks, before a last mark after letters."""
-        lines = self.LINE.split(piece)
-        if len(lines) > 1:
-            first = (self.known if spaced else self.bare)[lines[0]]
-            return self.bare["\n"].join([first, *map(self.bare.__getitem__, lines[1:])])
-        plain = max(piece, default="") < "ɐ"
-        if piece[-1:] in self.ENDS and piece[:-1].isalpha() and plain:
-            return (self.known if spaced else self.bare)[piece[:-1]] + self.bare[piece[-1]]
-        whole = " " + piece if spaced else piece
+        plain = piece.isascii() or max(piece) < "ɐ"
         if plain and piece.isalpha():
-            ids = [t.id for t in self.model.tokenize(whole.encode().decode("latin-1").translate(self.letters))]
-        else:
-            ids = self.tokenizer.encode(whole, add_special_tokens=False).ids
+            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+            return self._ids([t.id for t in self.model.tokenize(self.letters[ord(" ")] + letters if spaced else letters)])
+        if "\n" in piece:
+            lines = self.LINE.split(piece)
+            if len(lines) > 1:
+                first = (self.known if spaced else self.bare)[lines[0]]
+                return self.bare["\n"].join([first, *map(self.bare.__getitem__, lines[1:])])
+        if plain and piece[-1:] in self.ENDS and piece[:-1].isalpha():
+            return (self.known if spaced else self.bare)[piece[:-1]] + self.bare[piece[-1]]
+        return self._ids(self.tokenizer.encode(" " + piece if spaced else piece, add_special_tokens=False).ids)
+
+    def _ids(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out = []
-        for memory in (self.known, self.bare):
-            if len(memory) > self.limit:
-                memory.clear()
+        self.known.bound(self.limit)
+        self.bare.bound(self.limit)
         for text in texts:
             pieces = self.CUT.split(text) if self.ODD.search(text) else text.split(" ")
             first = self.bare[pieces.pop(0)]
