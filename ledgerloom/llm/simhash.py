@@ -11,7 +11,7 @@ returns links that connect what is connected in it, not all pairs.
 
 Defined cases. NULL and empty texts, and texts of white space, have fingerprint 0 and link like any other. Rows that
 repeat an id and a text are one document; other rows that share an id, or have none, are told apart by a digest. A NULL id is a member but never a smallest id. An empty input gives no
-rows. Further columns of the input are not looked at.
+rows. Further columns of the input are not looked at and may have any names.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components
-from ledgerloom.llm.text import stored, strings, text_digest
+from ledgerloom.llm.text import packed, stored, strings, text_digest
 
 SHINGLE = 3
 DISTANCE = 3
@@ -162,11 +162,11 @@ def keep_one(
     kept = groups.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).groupBy("root").agg(
         F.min(F.struct("digest", "doc_id", "rows")).alias("k")
     )
-    kept = stored(kept.select(F.col("k")["doc_id"].alias("_kept_id"), F.col("k")["digest"].alias("_kept"), F.col("k")["rows"].alias("_rows")), "kept")
-    same = docs[id_col].cast("long").eqNullSafe(F.col("_kept_id")) & (text_digest(text_col) == F.col("_kept"))
-    once = docs.join(kept.where("_rows = 1"), same, "left_semi")
-    several = kept.where("_rows > 1")
+    kept = stored(kept.select("k.*"), "kept")
+    rows = packed(docs, row_id=F.col(id_col).cast("long"), row_digest=text_digest(text_col))
+    same = F.col("row_id").eqNullSafe(F.col("doc_id")) & (F.col("row_digest") == F.col("digest"))
+    once = rows.join(kept.where("rows = 1"), same, "left_semi").select("doc.*")
+    several = kept.where("rows > 1")
     if several.isEmpty():
         return once
-    repeated = docs.join(several, same).dropDuplicates(["_kept_id", "_kept"]).select(*docs.columns)
-    return once.unionByName(repeated)
+    return once.unionByName(rows.join(several, same).dropDuplicates(["doc_id", "digest"]).select("doc.*"))

@@ -40,6 +40,11 @@ def text_digest(name: str) -> Column:
     return F.unhex(F.md5(text_of(name).cast("binary")))
 
 
+def packed(docs: DataFrame, **columns: Column) -> DataFrame:
+    """Each row as one struct ``doc`` beside the given columns, so no column of ``docs`` can clash with a name used here."""
+    return docs.select(F.struct("*").alias("doc"), *[c.alias(name) for name, c in columns.items()])
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)
