@@ -19,19 +19,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.text import crc, hash60, source_key, stored, text_of, word_count
+from ledgerloom.llm.text import hash60, packed, source_key, stored, text_digest, text_of, word_count
 from ledgerloom.operators.skew import small_side, total_bytes
 from ledgerloom.session import checkpoint
 
 ONE = 1 << 30  # copy probabilities in units, so that masses add up exactly
 BLOCK_BITS = 6  # about 64 documents to a block
+RUN_BITS = 12  # repeats of a row are counted out by 4,096
 CLASSES = 8  # size classes to a doubling
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 MOST_COPIES = 2.0
 SEED = 29
 
-UNIT = "struct<size:bigint,h:bigint,row:struct<doc_id:bigint,size:bigint,crc:bigint,n:bigint>,whole:bigint,p:bigint>"
+UNIT = "struct<size:bigint,h:bigint,row:struct<doc_id:bigint,size:bigint,digest:binary,n:bigint>,whole:bigint,p:bigint>"
 
 
 def targets(
@@ -78,7 +79,7 @@ def _fold(units: Column, seed: int) -> Column:
         first = F.struct(x.alias("carry"), state["done"].alias("done"))
         return F.when(c.isNull(), first).otherwise(F.struct(carry.alias("carry"), done.alias("done")))
 
-    row = "struct<doc_id:bigint,size:bigint,crc:bigint,n:bigint>"
+    row = "struct<doc_id:bigint,size:bigint,digest:binary,n:bigint>"
     zero = F.struct(
         F.lit(None).cast(UNIT).alias("carry"), F.array().cast(f"array<struct<row:{row},copies:bigint>>").alias("done")
     )
@@ -91,18 +92,26 @@ def _level(units: DataFrame, block: list[str], number: int, seed: int) -> DataFr
     return stored(blocks.select(*block, _fold(F.col("units"), seed * 1000 + number).alias("state")), f"mix-{number}")
 
 
+def _counted_out(rows: DataFrame) -> DataFrame:
+    """Each row ``_times`` times, numbered ``n`` from 1; in two steps, so no array holds all repeats of a row."""
+    last = F.col("_times") - 1
+    runs = rows.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.shiftright(last, RUN_BITS))))
+    low = F.shiftleft(F.col("_run"), RUN_BITS)
+    high = F.least(low + ((1 << RUN_BITS) - 1), last)
+    return runs.withColumn("n", F.explode(F.sequence(low + 1, high + 1))).drop("_run")
+
+
 def mix(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, most: float = MOST_COPIES,
     seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, copies, taken (= copies * size), text_crc32."""
-    text = text_of(text_col)
+    """One row per document: doc_id, size, source_size, target, copies, taken (= copies * size), text_md5."""
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), word_count(text).alias("size"), crc(text).alias("crc"),
-        source_key(source_col).alias("_source"),
+        F.col(id_col).cast("long").alias("doc_id"), word_count(text_of(text_col)).alias("size"),
+        text_digest(text_col).alias("digest"), source_key(source_col).alias("_source"),
     )
     # Rows that repeat everything are one row with a count here and are counted out again as units.
-    rows = stored(rows.groupBy("doc_id", "size", "crc", "_source").agg(F.count("*").alias("_times")), "mix-rows")
+    rows = stored(rows.groupBy("doc_id", "size", "digest", "_source").agg(F.count("*").alias("_times")), "mix-rows")
     sizes = rows.groupBy("_source").agg(F.sum(F.col("size") * F.col("_times")).alias("source_size"))
     plan = checkpoint(targets(sizes, weights, budget, most))
 
@@ -110,12 +119,12 @@ def mix(
     due = F.round(rate * ONE).cast("long")
     whole = F.shiftright(due, 30)
     units = (
-        rows.withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+        _counted_out(rows)
         .join(small_side(plan.select("_source", whole.alias("whole"), (due - whole * ONE).alias("p")), total_bytes(plan)), "_source")
-        .withColumn("h", hash60(F.lit(seed), F.col("doc_id"), F.col("crc"), F.col("size"), F.col("n")))
+        .withColumn("h", hash60(F.lit(seed), F.col("doc_id"), F.hex("digest"), F.col("size"), F.col("n")))
         .select(
             "_source", F.floor(F.log2(F.col("size") + 1) * CLASSES).alias("_class"),
-            F.struct("size", "h", F.struct("doc_id", "size", "crc", "n").alias("row"), "whole", "p").alias("unit"),
+            F.struct("size", "h", F.struct("doc_id", "size", "digest", "n").alias("row"), "whole", "p").alias("unit"),
         )
     )
     most_rows = rows.groupBy("_source", F.floor(F.log2(F.col("size") + 1) * CLASSES)).agg(F.sum("_times").alias("n"))
@@ -147,7 +156,7 @@ def mix(
         parts = parts.unionByName(decided.select("_source", F.col("d")["row"].alias("row"), F.col("d")["copies"].alias("copies")))
     return parts.join(small_side(plan.select("_source", "source_size", "target"), total_bytes(plan)), "_source").select(
         F.col("row")["doc_id"].alias("doc_id"), F.col("row")["size"].alias("size"), "source_size", "target", "copies",
-        (F.col("copies") * F.col("row")["size"]).alias("taken"), F.col("row")["crc"].alias("text_crc32"),
+        (F.col("copies") * F.col("row")["size"]).alias("taken"), F.col("row")["digest"].alias("text_md5"),
         F.when(F.col("_source") == "1", F.lit(None)).otherwise(F.substring("_source", 2, 1 << 30)).alias("source"),
     )
 
@@ -158,17 +167,24 @@ def mixed_documents(
 ) -> DataFrame:
     """The mix itself: every document as often as it is taken, with the columns of ``docs``.
 
-    Rows that repeat an id, a text and a source are one document here, taken as often as all of them together.
+    Rows that repeat an id, a text and a source are one document here, taken as often as all of them together; texts
+    are told apart by their MD5. Only such rows are shuffled twice with their texts. Columns may have any names.
     """
-    plan = mix(docs, weights, budget, most, seed, id_col, text_col, source_col).where("copies > 0")
-    plan = plan.groupBy("doc_id", "text_crc32", "source").agg(F.sum("copies").cast("int").alias("_copies"))
-    plan = plan.select(
-        F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), F.col("source").alias("_src"), "_copies"
-    )
-    once = docs.dropDuplicates([id_col, text_col, source_col])
-    joined = once.join(
-        plan,
-        once[id_col].cast("long").eqNullSafe(plan["_id"]) & crc(text_of(text_col)).eqNullSafe(plan["_crc"])
-        & once[source_col].cast("string").eqNullSafe(plan["_src"]),
+    identity = ["doc_id", "text_md5", "source"]
+    plan = mix(docs, weights, budget, most, seed, id_col, text_col, source_col)
+    plan = plan.groupBy(*identity).agg(F.sum("copies").cast("int").alias("copies"), F.count("*").alias("rows"))
+    plan = stored(plan.where("copies > 0"), "mix-plan")
+    rows = packed(
+        docs, row_id=F.col(id_col).cast("long"), row_md5=text_digest(text_col), row_source=F.col(source_col).cast("string")
     )
-    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+    same = F.col("row_id").eqNullSafe(F.col("doc_id")) & (F.col("row_md5") == F.col("text_md5"))
+    same = same & F.col("row_source").eqNullSafe(F.col("source"))
+
+    def repeated(taken: DataFrame) -> DataFrame:
+        return taken.select("doc", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")).select("doc.*")
+
+    once = repeated(rows.join(plan.where("rows = 1"), same))
+    several = plan.where("rows > 1")
+    if several.isEmpty():
+        return once
+    return once.unionByName(repeated(rows.join(several, same).dropDuplicates(identity)))
