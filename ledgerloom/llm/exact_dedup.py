@@ -24,7 +24,7 @@ from ledgerloom.session import shared_root
 from ledgerloom.sources import versions
 
 BUCKETS = 64
-MOST_FILES = 8  # files a bucket before an index is made compact
+MOST_APPENDS = 8  # then an index is made compact: as many files a bucket
 
 
 def digest_of(text_col: str) -> Column:
@@ -106,6 +106,11 @@ class DigestIndex:
 
         versions.put_folder(self.spark, self.path, {"buckets": self.buckets}, write, rows.schema)
 
+    def _appends(self) -> str:
+        """A log beside the current files with one entry for each append; Spark passes over its name."""
+        (entry,) = versions.snapshot(self.spark, self.path).keys.values()
+        return f"{self.path.rstrip('/')}/{entry['folder']}/_appends"
+
     def compact(self) -> None:
         """One sorted file a bucket again."""
         self._put(self.read().groupBy("digest").agg(F.min("keep_id").alias("keep_id")))
@@ -116,10 +121,11 @@ class DigestIndex:
         if not self.exists():
             self._put(firsts)
             return
-        if len(self.read().inputFiles()) > MOST_FILES * self.buckets:
+        if len(versions.numbers(self.spark, self._appends())) >= MOST_APPENDS:
             self.compact()
         new = firsts.join(self.read().select("digest").hint("merge"), "digest", "left_anti")
         new.repartition(self.buckets, "digest").write.insertInto(self.table)
+        versions.put_folder(self.spark, self._appends(), {"append": uuid.uuid4().hex}, lambda folder: None)
 
 
 def exact_dedup(

@@ -45,10 +45,10 @@ def test_compacting_keeps_the_rows(spark, place, monkeypatch):
     assert len(index.read().inputFiles()) == 8
     index.compact()
     assert ids(index) == list(range(40)) and len(index.read().inputFiles()) == 2
-    monkeypatch.setattr(exact_dedup, "MOST_FILES", 1)
+    monkeypatch.setattr(exact_dedup, "MOST_APPENDS", 1)
     for i in range(2):
         index.add(exact_dedup.digests(table(spark, [(40 + i, f"t {40 + i}"), (0, "t 0")])))
-    assert ids(index) == list(range(42)) and len(index.read().inputFiles()) <= 4
+    assert ids(index) == list(range(42)) and len(index.read().inputFiles()) in (3, 4)
 
 
 def test_a_failed_batch_can_be_added_again(spark, place):
