@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.schema import numeric_columns, string_columns
-from ledgerloom.operators import encode, features, impute, outliers, split
+from ledgerloom.operators import encode, features, impute, outliers, skew, split
 from ledgerloom.operators.split import stratified_split
 from ledgerloom.params import FeatureParams
 from ledgerloom.plans import features as plan
@@ -261,3 +261,41 @@ def test_labels_may_have_any_name(spark, name):
     df = spark.createDataFrame([(i, i % 2) for i in range(40)], f"id long, {name} int")
     placed = stratified_split(df, "id", name, task_rows=3)
     assert placed.columns == ["id", name, "is_test"] and placed.where("is_test").groupBy(name).count().collect() == [(0, 4), (1, 4)]
+
+
+@pytest.mark.parametrize("broadcast_bytes", [64 << 20, 0])
+def test_split_of_many_classes(spark, monkeypatch, broadcast_bytes):
+    """20,000 classes of few rows and a hot one: the quotas are those of largest remainders, smaller label on ties."""
+    monkeypatch.setattr(split, "BROADCAST_BYTES", broadcast_bytes)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", broadcast_bytes)
+    classes, hot = 20_000, 30_000
+    few = spark.range(classes).select(F.explode(F.sequence(F.lit(1), 2 + F.col("id") % 3)).alias("i"), F.col("id").alias("c"))
+    many = spark.range(hot).select(F.col("id").alias("i"), F.lit(-1).cast("long").alias("c"))
+    df = few.union(many).select("c", F.concat_ws("/", "c", "i").alias("k"))
+    found = {r["c"]: r["t"] for r in split.stratified_split(df, "k", "c", 0.4).groupBy("c").agg(
+        F.count_if("is_test").alias("t")).collect()}
+    sizes = {c: 2 + c % 3 for c in range(classes)} | {-1: hot}
+    n = sum(sizes.values())
+    total = -(-n * 4 // 10)
+    want = {c: size * total // n for c, size in sizes.items()}
+    for c in sorted(sizes, key=lambda c: (-(sizes[c] * total % n), c))[: total - sum(want.values())]:
+        want[c] += 1
+    assert found == want
+
+
+def test_quotas_of_very_large_classes_are_whole_numbers(spark):
+    """Counts whose product with the test rows leaves 64 bits; equal remainders go by label."""
+    counts = spark.createDataFrame([("b", 10**15 + 1), ("a", 10**15 + 1), ("c", 5)], "c string, n long")
+    n, share = 2 * 10**15 + 7, 0.25
+    total = math.ceil(n * share)
+    sizes = {"a": 10**15 + 1, "b": 10**15 + 1, "c": 5}
+    want = {c: size * total // n for c, size in sizes.items()}
+    for c in sorted(sizes, key=lambda c: (-(sizes[c] * total % n), c))[: total - sum(want.values())]:
+        want[c] += 1
+    assert {r["c"]: r["quota"] for r in split.class_quotas(counts, "c", n, share).collect()} == want
+
+
+def test_split_refuses_a_key_that_repeats_at_a_border(spark):
+    df = spark.createDataFrame([(1, "a")] * 10, "k int, c string")
+    with pytest.raises(ValueError, match="not unique"):
+        split.stratified_split(df, "k", "c", 0.3)
