@@ -5,6 +5,7 @@ import statistics
 from datetime import date
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import model, moments
@@ -103,6 +104,39 @@ def test_stream_with_state_equals_table(spark, rows):
     assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
 
 
+class KeptState:
+    """A customer's state without a store."""
+
+    def __init__(self):
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def test_state_moves_row_by_row_without_a_table_per_customer():
+    """Rows come and go as they are: a table per customer and batch cost more than the work. Missing places go last."""
+    mover = running.RunningMoments(["day", "at"], None)
+    mover.state = KeptState()
+    mover.handleInitialState((1,), Row(customer_id=1, n=2, total=10.0, m2=2.0), None)
+    mover.handleInitialState((1,), Row(customer_id=1, n=9, total=1.0, m2=1.0), None)
+    days = [(None, 1), (date(2024, 1, 2), None), (date(2024, 1, 2), 7), (date(2024, 1, 1), 9)]
+    amounts = [8.0, None, float("nan"), 5.0]
+    rows = [Row(day=d, at=a, customer_id=1, amount=x) for (d, a), x in zip(days, amounts)]
+    got = list(mover.handleInputRows((1,), iter(rows), None))
+    assert [(r["day"], r["at"]) for r in got] == [days[3], days[2], days[1], days[0]]
+    assert [r["customer_transaction_count"] for r in got] == [3, 3, 3, 4]
+    assert [r["customer_total_amount"] for r in got] == [15.0, 15.0, 15.0, 23.0]
+    assert close([got[-1][c] for c in CUSTOMER_FEATURES], stats([4.0, 6.0, 5.0, 8.0]))
+    assert mover.state.value[:2] == (4, 23.0)
+
+
 def fitted(spark, transactions):
     params = FeatureParams(key_columns=("transaction_id", "customer_id"))
     model_, prepared = plan.fit_features(transactions, params)
