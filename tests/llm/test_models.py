@@ -124,6 +124,32 @@ def test_scores_without_rows(nothing, spark):
     assert suffix_tree.fit_and_score(nothing).isEmpty()
 
 
+def test_scores_follow_the_whole_tree_whatever_the_share_of_the_corpus(spark):
+    """Sequences that occur seldom in a million tokens, below 8e-6 of them, belong to the tree."""
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.choices(vocabulary, k=900)) for _ in range(1200)]
+    for i in range(0, 1200, 75):
+        texts[i] += " omega beta sigma" if i % 150 else " alpha beta gamma"
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    got = {r.doc_id: r for r in suffix_tree.fit_and_score(rows).collect()}
+    hashes = [suffix_tree.token_hashes(t) for t in texts]
+    training = [h.tolist() for i, h in enumerate(hashes) if not suffix_tree.held_out(str(i))]
+    words = Counter(w for h in training for w in h)
+    grams = []
+    for d in (1, 2):
+        c = {k: n for k, n in Counter(k for h in training for k in zip(*[h[j:] for j in range(d + 1)])).items() if n >= 4}
+        grams.append((np.array(list(c), np.uint64).reshape(-1, d + 1), np.array(list(c.values()))))
+    n, v = sum(words.values()), len(words)
+    assert 4 <= words[int(hashes[0][-2])] < 8e-6 * n - 0.1
+    tree = suffix_tree.build_tree(n, v, list(words), list(words.values()), grams)
+    assert len(tree.states[0]) and len(tree.states[1])
+    for i, h in enumerate(hashes):
+        gain = suffix_tree.adjustments(tree, h, np.array([0])).sum() / math.log(10)
+        assert got[i].score == pytest.approx(got[i].base_score + gain, rel=1e-9)
+        assert i % 75 or gain > 3
+
+
 PII_TEXTS = [
     "mail to a.b@mail.example.com, or c@d.e.f. now", "ip 10.0.0.255 and 300.1.1.1 and 1.2.3.4.5", "card 4111 1111 1111 1111.",
     "4111-1111-1111-1112 5500005555555559", "+1 (555) 555-0199 or +49 30 1234567890123456", "call (555) 123-4567 today", "password=abc123def",
