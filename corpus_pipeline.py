@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import decontaminate, mixing, simhash, token_files, toxicity
 from ledgerloom.llm.queries import tokenizer_path
-from ledgerloom.llm.text import documents, stored
+from ledgerloom.llm.text import documents, stored, text_batches
 from ledgerloom.session import new_shared_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.7 or more go."""
-    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    with text_batches(spark):  # stored here, as the batches hold for what runs now
+        return stored(toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), "not-toxic")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components
-from ledgerloom.llm.text import packed, stored, strings, text_digest
+from ledgerloom.llm.text import packed, stored, strings, text_batches, text_digest
 
 SHINGLE = 3
 DISTANCE = 3
@@ -135,7 +135,8 @@ def simhash_groups(
     docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per document: doc_id, fp (signed long), component_id (the smallest id reachable by links)."""
-    marks = stored(fingerprints(docs, shingle, id_col, text_col).select("doc_id", "fp").distinct(), "fingerprints")
+    with text_batches(docs.sparkSession):
+        marks = stored(fingerprints(docs, shingle, id_col, text_col).select("doc_id", "fp").distinct(), "fingerprints")
     return _grouped(marks, distance).drop("root")
 
 
@@ -158,7 +159,9 @@ def keep_one(
     repeat an id and a text one is kept.
     """
     marks = fingerprints(docs, shingle, id_col, text_col).groupBy("doc_id", "digest", "fp").agg(F.count("*").alias("rows"))
-    groups = _grouped(stored(marks, "fingerprints"), distance)
+    with text_batches(docs.sparkSession):
+        marks = stored(marks, "fingerprints")
+    groups = _grouped(marks, distance)
     kept = groups.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).groupBy("root").agg(
         F.min(F.struct("digest", "doc_id", "rows")).alias("k")
     )

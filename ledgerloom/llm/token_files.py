@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.text import strings
+from ledgerloom.llm.text import strings, text_batches
 
 CONTAINER_IDS = 1 << 21
 PART_BYTES = 16 << 20
@@ -234,11 +234,13 @@ def write_tokens(
         if blobs:
             yield container()
 
-    rows.mapInPandas(
+    made = rows.mapInPandas(
         run,
         "part int, seq int, n_docs long, n_ids long, id_bytes int, n_null long, first_id long, doc_ids binary, "
         "bounds binary, ids binary",
-    ).write.parquet(path)
+    )
+    with text_batches(docs.sparkSession):
+        made.write.parquet(path)
 
 
 def container_documents(row) -> Iterable[tuple[int | None, np.ndarray, int]]:

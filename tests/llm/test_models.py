@@ -12,7 +12,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from ledgerloom.llm import passages, pii, queries, simhash, suffix_tree, token_files, toxicity
+from ledgerloom.llm import passages, pii, queries, simhash, suffix_tree, text, token_files, toxicity
 from ledgerloom.llm.components import components
 from ledgerloom.session import new_shared_path
 
@@ -364,3 +364,25 @@ def test_pipeline(spark, sf):
     assert Counter(r.doc_id for r in rows) == expected
     rows.sort(key=lambda r: r.start)
     assert all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:])) and re.match("", "")
+
+
+def test_stages_hand_whole_texts_on_in_small_batches(spark, sf, monkeypatch):
+    """Documents travel to Python BATCH_ROWS at a time in the stages that look at texts; the session keeps its own setting."""
+    seen, before = [], spark.conf.get(text.BATCH_CONF)
+
+    def spy(module):
+        plain = module.stored
+        monkeypatch.setattr(module, "stored", lambda df, name: seen.append((name, spark.conf.get(text.BATCH_CONF))) or plain(df, name))
+
+    for module in (corpus_pipeline, simhash):
+        spy(module)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    corpus_pipeline.drop_near_duplicates(spark, corpus_pipeline.drop_toxic(spark, docs, sf), sf)
+    assert [x for x in seen if x[0] in ("not-toxic", "fingerprints")] == [(n, str(text.BATCH_ROWS)) for n in ("not-toxic", "fingerprints")]
+    assert spark.conf.get(text.BATCH_CONF) == before
+    spark.conf.set(text.BATCH_CONF, "7")
+    try:
+        with text.text_batches(spark):
+            assert spark.conf.get(text.BATCH_CONF) == "7"
+    finally:
+        spark.conf.set(text.BATCH_CONF, before)
