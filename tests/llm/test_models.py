@@ -386,3 +386,30 @@ def test_stages_hand_whole_texts_on_in_small_batches(spark, sf, monkeypatch):
             assert spark.conf.get(text.BATCH_CONF) == "7"
     finally:
         spark.conf.set(text.BATCH_CONF, before)
+
+
+def test_a_chunk_is_handed_on_in_small_frames(monkeypatch):
+    """Ranges are packed one by one, and what a chunk makes goes in frames; together they are the counts of all keys."""
+    rng = np.random.default_rng(5)
+    h = rng.integers(0, 2**63, 500).astype(np.uint64)[rng.zipf(1.3, 20_000) % 500]
+    starts = np.array([0, 7, 7, 5000, 19_999])
+    monkeypatch.setattr(suffix_tree, "FRAME_BYTES", 10_000)
+    for depth in (0, 1, 2):
+        keys, ends = (h, np.arange(len(h))) if not depth else suffix_tree._sequences(h, starts, depth)
+        frames = list(suffix_tree._packs(depth, h, keys, ends, 40))
+        size = [sum(map(len, f["parts"])) + sum(map(len, f["counts"])) for f in frames]
+        assert max(size) < 10_000 + max(len(p) + len(c) for f in frames for p, c in zip(f["parts"], f["counts"]))
+        assert depth == 0 or len(frames) > 1
+        got = Counter()
+        for row in (r for f in frames for r in f.itertuples()):
+            parts = np.frombuffer(row.parts, np.uint64).reshape(depth + 1, -1).T
+            assert (suffix_tree._range_of(suffix_tree._chain(parts), 40) == row.range).all()
+            got.update(dict(zip(map(tuple, parts.tolist()), np.frombuffer(row.counts, np.int32).tolist(), strict=True)))
+        assert got == Counter(tuple(h[e - depth:e + 1].tolist()) for e in ends)
+
+
+def test_postings_of_a_range():
+    keys, docs = np.array([9, 4, 9, 9, 4, 7], np.uint64), np.array([0, 0, 0, 2, 3, 3], np.int32)
+    k, lengths, where, times = suffix_tree._postings(keys, docs)
+    assert np.frombuffer(k, np.uint64).tolist() == [4, 7, 9]
+    assert [np.frombuffer(x, np.int32).tolist() for x in (lengths, where, times)] == [[2, 1, 2], [0, 3, 3, 0, 2], [1, 1, 1, 2, 1]]
