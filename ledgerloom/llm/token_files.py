@@ -19,6 +19,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterable
+from operator import attrgetter
 
 import numpy as np
 import pandas as pd
@@ -33,6 +34,7 @@ PART_BYTES = 16 << 20
 CACHED_PIECES = 400_000
 KEPT_LETTERS = 64  # a longer piece is made each time, which bounds the memory of pieces in bytes
 END_ID = 2
+TOKEN_ID = attrgetter("id")
 SAMPLE = 64  # a select starts at the nearest sampled one bit
 
 
@@ -142,7 +144,7 @@ class PieceEncoder:
     CUT = re.compile(r" (?=\S)")
     ODD = re.compile(r" (?!\S)")
     LINE = re.compile(r"(?<=\S)\n(?=\S)")
-    ENDS = frozenset(".,;:!?")
+    MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII without the apostrophe, which may begin a contraction
 
     def __init__(self, path: str, end_id: int = END_ID, limit: int = CACHED_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -152,6 +154,8 @@ class PieceEncoder:
         self.model, self.letters, self.limit = self.tokenizer.model, byte_letters(), limit
         self.code = "H" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "I"
         self.id_bytes, self.end = array(self.code).itemsize, array(self.code, [end_id]).tobytes()
+        added = {t.content[-1:] for t in self.tokenizer.get_added_tokens_decoder().values()}  # they are found across cuts
+        self.marks, self.space = "".join(x for x in self.MARKS if x not in added), self.letters[ord(" ")]
         self.known = Pieces(lambda x: self._make(x, True))  # pieces after a space, without it
         self.bare = Pieces(lambda x: self._make(x, False))  # pieces that no space precedes
 
@@ -166,21 +170,24 @@ class PieceEncoder:
         return kept[path, end_id]
 
     def _make(self, piece: str, spaced: bool) -> bytes:
-        """A piece is cut further where a cut is certain: around lone line breaks, before a last mark after letters."""
-        plain = piece.isascii() or max(piece) < "ɐ"
+        """A piece is cut further where a cut is certain: around lone line breaks, between letters and the marks that end it."""
+        narrow = piece.isascii()
+        plain = narrow or max(piece) < "ɐ"
         if plain and piece.isalpha():
-            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-            return self._ids([t.id for t in self.model.tokenize(self.letters[ord(" ")] + letters if spaced else letters)])
+            letters = piece if narrow else piece.encode().decode("latin-1").translate(self.letters)
+            return self._ids(map(TOKEN_ID, self.model.tokenize(self.space + letters if spaced else letters)))
         if "\n" in piece:
             lines = self.LINE.split(piece)
             if len(lines) > 1:
                 first = (self.known if spaced else self.bare)[lines[0]]
                 return self.bare["\n"].join([first, *map(self.bare.__getitem__, lines[1:])])
-        if plain and piece[-1:] in self.ENDS and piece[:-1].isalpha():
-            return (self.known if spaced else self.bare)[piece[:-1]] + self.bare[piece[-1]]
+        if plain:
+            stem = piece.rstrip(self.marks)
+            if len(stem) < len(piece) and stem.isalpha():
+                return (self.known if spaced else self.bare)[stem] + self.bare[piece[len(stem):]]
         return self._ids(self.tokenizer.encode(" " + piece if spaced else piece, add_special_tokens=False).ids)
 
-    def _ids(self, ids: list[int]) -> bytes:
+    def _ids(self, ids: Iterable[int]) -> bytes:
         return array(self.code, ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:

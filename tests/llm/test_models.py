@@ -388,6 +388,18 @@ def test_stages_hand_whole_texts_on_in_small_batches(spark, sf, monkeypatch):
         spark.conf.set(text.BATCH_CONF, before)
 
 
+def test_marks_behind_letters_are_cut_off():
+    """A run of marks that ends a piece is encoded once, whatever the words before it."""
+    encoder = token_files.PieceEncoder(queries.tokenizer_path())
+    runs = ["###", ".&&&", ",%%%", "$$$", "?!", ":", "\"", ")", "->", "--", "'s", "',", ">"]
+    words = ["haend", "Öbesch", "x"]
+    texts = [f"{w}{r} {w}{r}\n{w}{r} ({w}{r}" for w in words for r in runs]
+    for t, blob in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(blob, "<u2").tolist() == [*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 2], t
+    assert {"###", ".&&&", ",%%%", "$$$", "?!"} <= encoder.bare.keys()
+    assert {"haend", "Öbesch", "x"} <= encoder.known.keys()
+
+
 def test_a_chunk_is_handed_on_in_small_frames(monkeypatch):
     """Ranges are packed one by one, and what a chunk makes goes in frames; together they are the counts of all keys."""
     rng = np.random.default_rng(5)
