@@ -425,3 +425,19 @@ def test_postings_of_a_range():
     k, lengths, where, times = suffix_tree._postings(keys, docs)
     assert np.frombuffer(k, np.uint64).tolist() == [4, 7, 9]
     assert [np.frombuffer(x, np.int32).tolist() for x in (lengths, where, times)] == [[2, 1, 2], [0, 3, 3, 0, 2], [1, 1, 1, 2, 1]]
+
+
+def test_postings_travel_in_few_bytes():
+    """Steps of sorted keys have zeros in front and small numbers take a byte or two; what arrives is what was sent."""
+    rng = np.random.default_rng(3)
+    keys, docs = rng.integers(0, 2**63, 3000).astype(np.uint64) * np.uint64(2), np.sort(rng.integers(0, 1500, 9000)).astype(np.int32)
+    keys[:2] = 0, 2**64 - 1
+    own = keys[rng.integers(0, 3000, 9000)]
+    for some in (slice(None), slice(0, 1), slice(0, 600)):
+        plain = suffix_tree._postings(own[some], docs[some])
+        sent = suffix_tree._sent(*plain)
+        got = suffix_tree._received(*sent)
+        assert [g.tolist() for g in got] == [np.frombuffer(b, t).tolist() for b, t in zip(plain, (np.uint64, *[np.int32] * 3))]
+    assert sum(map(len, sent)) < 0.7 * sum(map(len, plain))
+    big = suffix_tree._postings(np.array([5, 5], np.uint64), np.array([0, 70_000], np.int32))
+    assert suffix_tree._received(*suffix_tree._sent(*big))[2].tolist() == [0, 70_000]
