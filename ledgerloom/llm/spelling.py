@@ -138,12 +138,18 @@ def _entries(words: DataFrame, frequent: dict[str, int], index: bool) -> DataFra
     return found.select(F.explode("keys").alias("k"), "word", "n").select(F.xxhash64("k").alias("key"), "word", "n")
 
 
+def _merged(side: DataFrame) -> DataFrame:
+    """A side of a join that grows with the words. Without the hint Spark may broadcast it: it goes by the size of the stored
+    words, while a word makes dozens of exploded keys."""
+    return side.hint("merge")
+
+
 def near_words(words: DataFrame, limit: int = LIMIT, most: int = GRAMS) -> DataFrame:
     """(word, n) -> (word, n, other, other_n): all pairs that differ by one inserted, deleted or replaced letter, both ways round."""
     words = words.where(F.char_length("word") > 1)
     frequent = frequent_grams(words, limit, most)
     lists = _entries(words, frequent, index=True).select("key", F.col("word").alias("other"), F.col("n").alias("other_n"))
-    met = left_join(_entries(words, frequent, index=False), lists, "key")
+    met = left_join(_entries(words, frequent, index=False), _merged(lists), "key")
     longer = F.char_length("other") > F.char_length("word")
     met = met.where(longer | (F.col("word") < F.col("other"))).where(F.levenshtein("word", "other", 1) == 1)
     pairs = stored(met.select("word", "n", "other", "other_n").distinct(), "near-words")
@@ -156,7 +162,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     at = stored(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         on = at.select(F.col("word").alias("_at"), F.col("root").alias("_next"))
-        moved = at.join(on, at["root"] == on["_at"], "left")
+        moved = at.join(_merged(on), at["root"] == on["_at"], "left")
         moved = stored(moved.select("word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("moved")), "roots")
         if moved.where("moved").isEmpty():
             return moved.select("word", "root")
@@ -172,12 +178,12 @@ def variants(words: DataFrame, limit: int = LIMIT, most: int = GRAMS) -> DataFra
     best = near_words(words, limit, most).groupBy("word").agg(
         F.count("*").alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("m"), F.col("other").alias("form"))).alias("b")
     )
-    rows = words.join(best, "word", "left").withColumn("form_n", -F.col("b")["m"])
+    rows = words.join(_merged(best), "word", "left").withColumn("form_n", -F.col("b")["m"])
     has = F.col("form_n") >= RATIO * F.col("n")
     rows = rows.select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(has, F.col("b")["form"]).alias("form"), F.when(has, F.col("form_n")).alias("form_n"),
     )
     rows = stored(rows, "forms")
-    joined = rows.join(_roots(rows.where("form IS NOT NULL")), "word", "left")
+    joined = rows.join(_merged(_roots(rows.where("form IS NOT NULL"))), "word", "left")
     return joined.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

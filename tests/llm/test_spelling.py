@@ -111,3 +111,26 @@ def test_the_limit_rises_until_the_grams_fit(spark):
     assert len(few) <= 20 < len(every)
     assert all(n == every[g] for g, n in few.items())
     assert every["ab"] == sum("ab" in "".join(p) for p in itertools.product("abc", repeat=6))
+
+
+def test_no_side_that_grows_with_the_words_is_broadcast(spark, monkeypatch):
+    """Stored words look small to Spark, and their exploded keys no larger: it would broadcast them."""
+    plans = []
+    store = spelling.stored
+
+    def noted(df, name):
+        plans.append((name, df._jdf.queryExecution().sparkPlan().toString()))
+        return store(df, name)
+
+    monkeypatch.setattr(spelling, "stored", noted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        rows = [(a + "".join(p), 1 + 4 * (p[0] == "a")) for a in "xyz" for p in itertools.product("abc", repeat=5)]
+        made = spelling.variants(spark.createDataFrame(rows, "word string, n long"))
+        plans.append(("result", made._jdf.queryExecution().sparkPlan().toString()))
+        assert made.count() == len(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {"near-words", "roots", "forms", "result"} <= {name for name, plan in plans if "Join" in plan}
+    assert [name for name, plan in plans if "Broadcast" in plan] == []
